@@ -59,6 +59,16 @@ _LINEAGE_DDL = (
 )
 
 
+_TYPES = {
+    "BIGINT": T.LongType(), "INT": T.IntegerType(), "SMALLINT": T.ShortType(), "BOOLEAN": T.BooleanType(),
+    "DATE": T.DateType(), "TIMESTAMP": T.TimestampType(), "STRING": T.StringType(),
+}
+
+
+def _type(kind: str) -> T.DataType:
+    return T.VarcharType(int(kind[len("VARCHAR("):-1])) if kind.startswith("VARCHAR(") else _TYPES[kind]
+
+
 @dataclass(frozen=True)
 class Contract:
     """One table: column DDL, primary key, further unique columns, foreign keys.
@@ -77,7 +87,12 @@ class Contract:
 
     @property
     def schema(self) -> T.StructType:
-        return T.StructType.fromDDL(self.ddl)
+        """The column DDL as a schema; unlike ``fromDDL`` it needs no running session."""
+        fields = []
+        for column in self.ddl.split(","):
+            name, kind, *rest = column.split()
+            fields.append(T.StructField(name, _type(kind), nullable=rest != ["NOT", "NULL"]))
+        return T.StructType(fields)
 
     @property
     def read_schema(self) -> T.StructType:

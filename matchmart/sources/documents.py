@@ -99,7 +99,7 @@ def parse(raw: DataFrame, text: str = "value") -> DataFrame:
 
 
 def attach_manifest(documents: DataFrame, entries: DataFrame) -> DataFrame:
-    """Left join on the normalised path; documents without a record keep NULLs.
+    """Left join on the path, normalised on both sides; documents without a record keep NULLs.
 
     No broadcast hint: whether the entries are small enough is left to Spark's
     size check at run time.
@@ -107,7 +107,7 @@ def attach_manifest(documents: DataFrame, entries: DataFrame) -> DataFrame:
     records = entries.select(
         normalize_uri("uri").alias("_source"), "stg_file_name", "stg_file_hashkey", "ingested_at", "run_id"
     )
-    return documents.join(records, "_source", "left")
+    return documents.withColumn("_source", normalize_uri("_source")).join(records, "_source", "left")
 
 
 def with_lineage(documents: DataFrame, loaded_at: datetime | Column | str) -> DataFrame:
