@@ -236,10 +236,11 @@ def incremental_two_batches(lake: Lake) -> DataFrame:
     root = space.fresh("incremental")
     store, manifest, checkpoint = f"{root}/raw", f"{root}/manifest", f"{root}/checkpoint"
     warehouse = Warehouse(space, f"{root}/warehouse")
-    about = fixtures.matches(spark, lake.sf_dir)
+    about = fixtures.matches(spark, lake.sf_dir).select("m", "day")
     early = F.col("day") < F.lit(fixtures.SPLIT_DATE).cast("date")
-    first = fixtures.documents(spark, lake.sf_dir, about.where(early).select("m"))
-    later = fixtures.documents(spark, lake.sf_dir, about.where(~early).select("m"))
+    match_of = F.regexp_extract("stg_file_name", r"^(\d+)", 1).cast("bigint")
+    dated = lake.raw().withColumn("m", match_of).join(about, "m")
+    first, later = dated.where(early).drop("m", "day"), dated.where(~early).drop("m", "day")
     fixed = fixtures.documents(
         spark, lake.sf_dir, about.where(early & (F.col("m") % 10 == 0)).select("m"), runs_added=1
     )

@@ -10,7 +10,7 @@ from matchmart.plans import marts
 from matchmart.plans.warehouse import STAGING, Warehouse
 from matchmart.sources.documents import read_bundles, write_bundles
 from matchmart.sources.manifests import read_manifests, write_manifest
-from matchmart.workspace import Workspace
+from matchmart.workspace import Workspace, together
 
 _lakes: dict[tuple[str, str], "Lake"] = {}
 
@@ -71,8 +71,8 @@ class Lake:
         return read_manifests(self.spark, self.space.once("event_manifest", write))
 
     def load_everything(self) -> None:
-        for name in STAGING:
-            self.staged(name)
+        self.documents()
+        together(*[lambda name=name: self.staged(name) for name in STAGING])
         self.fact()
         self.summary()
 

@@ -58,10 +58,3 @@ def number_within(
         .withColumn(name, (F.col("__start") + F.col("__inside")).cast("int"))
         .drop("__start", "__inside")
     )
-
-
-def deterministic_pick(frame: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key from a frame of few distinct rows (names, places)."""
-    from matchmart.operators.latest import keep_first
-
-    return keep_first(frame.distinct(), keys, order)

@@ -12,42 +12,40 @@ from pyspark.sql import functions as F
 
 from matchmart.contracts import DIM_DATE, DIM_MATCH, DIM_PLAYER, DIM_TEAM, DIM_VENUE, Contract, conform
 from matchmart.functions import scorecard as rules
-from matchmart.functions.keys import composite_key, date_key, natural_key, padded_key, venue_key
+from matchmart.functions.keys import date_key, natural_key, padded_key, venue_key
 from matchmart.operators.latest import keep_first
 from matchmart.operators.lookups import lookup
 from matchmart.operators.numbering import dense_ids
 from matchmart.operators.upsert import insert_only, upsert
+from matchmart.sources.sinks import BucketedTable
 from matchmart.workspace import Workspace
 
 TEAM_COLUMNS = ("first_team", "second_team", "toss_winner", "winner")
 
 
-def _empty(frame: DataFrame, contract: Contract) -> DataFrame:
-    return frame.sparkSession.createDataFrame([], contract.read_schema)
-
-
 def _merge_members(
     current: DataFrame | None,
     members: DataFrame,
     contract: Contract,
     id_column: str,
     natural: str,
-    attributes: list[str],
     space: Workspace,
-    created_at: Column | None,
+    created_at: Column | None = None,
 ) -> DataFrame:
-    """Upsert members (one row per natural key), giving ids to the unseen ones."""
+    """Upsert members (one row per natural key), giving ids to the unseen ones.
+
+    The members are few compared with the rows they were found in; they are
+    written once and everything after works on that.
+    """
+    attributes = [c for c in members.columns if c != natural]
+    stamped = [] if created_at is None else [created_at.alias("created_at")]
     if current is None:
-        current, start, fresh = _empty(members, contract), 0, members.select(natural)
-    else:
-        start = current.agg(F.max(id_column)).first()[0] or 0
-        fresh = members.select(natural).join(current.select(natural), natural, "left_anti")
-    numbered = dense_ids(fresh, [natural], id_column, space, start)
-    source = members.join(numbered, natural, "left")
-    insert = [natural, *attributes, id_column]
-    if created_at is not None:
-        source = source.withColumn("created_at", created_at)
-        insert.append("created_at")
+        return conform(dense_ids(members, [natural], id_column, space).select("*", *stamped), contract)
+    members = space.freeze(members, "members")
+    start = current.agg(F.max(id_column)).first()[0] or 0
+    unseen = members.select(natural).join(current.select(natural), natural, "left_anti")
+    source = members.join(dense_ids(unseen, [natural], id_column, space, start), natural, "left").select("*", *stamped)
+    insert = [c for c in contract.columns if c in source.columns]
     return upsert(current, source, [natural], attributes, insert, unique_source=True)
 
 
@@ -75,9 +73,7 @@ def team_members(matches: DataFrame) -> DataFrame:
 def dim_team(
     matches: DataFrame, space: Workspace, current: DataFrame | None = None, created_at: Column | None = None
 ) -> DataFrame:
-    return _merge_members(
-        current, team_members(matches), DIM_TEAM, "team_id", "team_key", ["team_name"], space, created_at
-    )
+    return _merge_members(current, team_members(matches), DIM_TEAM, "team_id", "team_key", space, created_at)
 
 
 def venue_members(matches: DataFrame) -> DataFrame:
@@ -88,9 +84,7 @@ def venue_members(matches: DataFrame) -> DataFrame:
 
 
 def dim_venue(matches: DataFrame, space: Workspace, current: DataFrame | None = None) -> DataFrame:
-    return _merge_members(
-        current, venue_members(matches), DIM_VENUE, "venue_id", "venue_key", ["venue_name", "city"], space, None
-    )
+    return _merge_members(current, venue_members(matches), DIM_VENUE, "venue_id", "venue_key", space)
 
 
 def player_members(players: DataFrame, teams: DataFrame) -> DataFrame:
@@ -115,10 +109,8 @@ def dim_player(
     current: DataFrame | None = None,
     created_at: Column | None = None,
 ) -> DataFrame:
-    return _merge_members(
-        current, player_members(players, teams), DIM_PLAYER, "player_id", "player_key", ["full_name", "team_id"],
-        space, created_at,
-    )
+    members = player_members(players, teams)
+    return _merge_members(current, members, DIM_PLAYER, "player_id", "player_key", space, created_at)
 
 
 def calendar(days: DataFrame, column: str = "event_date") -> DataFrame:
@@ -189,3 +181,8 @@ def dim_match(
         return source
     attributes = [c for c in DIM_MATCH.columns if c not in DIM_MATCH.key]
     return upsert(current, source, DIM_MATCH.key, attributes, unique_source=True)
+
+
+def match_dimension(space: Workspace, path: str, buckets: int = 8) -> BucketedTable:
+    """The stored match dimension: it grows with the matches, so a batch rewrites touched buckets only."""
+    return BucketedTable(space, path, DIM_MATCH, lambda n: F.pmod(F.xxhash64("match_id"), F.lit(n)).cast("int"), buckets)

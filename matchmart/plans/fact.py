@@ -17,11 +17,17 @@ BALL_KEY = STG_DELIVERY.key
 
 
 def latest_per_ball(deliveries: DataFrame) -> DataFrame:
-    """One row per ball: latest load, then a fixed order of files, then the first wicket."""
+    """One row per ball: latest load, then a fixed order of files, then the first wicket.
+
+    A further wicket always has its ball's first wicket beside it in the same
+    document, so it never survives and is dropped before the exchange.
+    """
+    deliveries = deliveries.where(F.coalesce("wicket_index", F.lit(1)) == 1)
     order = [
         F.col("stg_modified_ts").desc_nulls_last(),
         F.col("stg_file_hashkey").desc_nulls_last(),
         F.col("wicket_index").asc_nulls_last(),
+        F.col("stg_file_name").asc_nulls_last(),
     ]
     return keep_first(deliveries, BALL_KEY, order)
 

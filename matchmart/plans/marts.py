@@ -66,11 +66,11 @@ def _career_sums(fact: DataFrame, matches: DataFrame) -> DataFrame:
     Counted in steps (innings, match, batsman), each a partially combined hash
     aggregate, so no task holds a set of distinct values.
     """
-    known = _batting(fact).join(matches.select("match_id"), "match_id", "left_semi")
-    per_innings = known.groupBy("player_id", "match_id", "innings_number").agg(*_totals())
+    per_innings = _batting(fact).groupBy("player_id", "match_id", "innings_number").agg(*_totals())
     add = [F.sum(c).alias(c) for c in ("runs", "fours", "sixes", "balls", "outs")]
     per_match = per_innings.groupBy("player_id", "match_id").agg(*add, F.count("*").alias("innings"))
-    return per_match.groupBy("player_id").agg(
+    known = per_match.join(matches.select("match_id"), "match_id", "left_semi")
+    return known.groupBy("player_id").agg(
         *add, F.sum("innings").alias("innings"), F.count("*").alias("matches")
     )
 

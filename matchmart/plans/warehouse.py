@@ -17,21 +17,25 @@ from matchmart.plans import dims
 from matchmart.plans.fact import fact_delivery, fact_table
 from matchmart.sources import documents as docs
 from matchmart.sources.sinks import Snapshots, read_history, write_history
-from matchmart.workspace import Workspace
+from matchmart.workspace import Workspace, together
 
 STAGING = {
     "match": (STG_MATCH, flatten.match_table),
     "player": (STG_PLAYER, flatten.player_table),
     "delivery": (STG_DELIVERY, flatten.delivery_table),
 }
-DIMENSIONS = ("team", "venue", "player", "date", "match")
+#: dimensions that stay small next to the documents and are rewritten whole
+SMALL_DIMENSIONS = ("team", "venue", "player", "date")
 
 
 class Warehouse:
+    """``buckets`` is fixed for the life of the tables; choose it so that a fact bucket holds a few gigabytes."""
+
     def __init__(self, space: Workspace, root: str | None = None, buckets: int = 64):
         self.space, self.spark = space, space.spark
         self.root = root or space.path("warehouse")
-        self.snapshots = {d: Snapshots(self.spark, f"{self.root}/dim_{d}") for d in DIMENSIONS}
+        self.snapshots = {d: Snapshots(self.spark, f"{self.root}/dim_{d}") for d in SMALL_DIMENSIONS}
+        self.match_table = dims.match_dimension(space, f"{self.root}/dim_match", max(1, buckets // 8))
         self.fact_table = fact_table(space, f"{self.root}/fact_delivery", buckets)
 
     # --- documents ---------------------------------------------------------
@@ -71,6 +75,8 @@ class Warehouse:
     # --- dimensions and fact -----------------------------------------------
 
     def dim(self, name: str) -> DataFrame:
+        if name == "match":
+            return self.match_table.read()
         current = self.snapshots[name].current()
         if current is None:
             raise LookupError(f"dimension {name} has not been loaded")
@@ -82,11 +88,15 @@ class Warehouse:
         created_at = F.current_timestamp() if created_at is None else created_at
         now = {d: s.current() for d, s in self.snapshots.items()}
         put = {d: s.replace for d, s in self.snapshots.items()}
-        teams = put["team"](dims.dim_team(matches, self.space, now["team"], created_at))
-        venues = put["venue"](dims.dim_venue(matches, self.space, now["venue"]))
-        put["player"](dims.dim_player(players, teams, self.space, now["player"], created_at))
-        put["date"](dims.dim_date(matches, now["date"]))
-        put["match"](dims.dim_match(matches, teams, venues, now["match"]))
+        teams, venues, _ = together(
+            lambda: put["team"](dims.dim_team(matches, self.space, now["team"], created_at)),
+            lambda: put["venue"](dims.dim_venue(matches, self.space, now["venue"])),
+            lambda: put["date"](dims.dim_date(matches, now["date"])),
+        )
+        together(
+            lambda: put["player"](dims.dim_player(players, teams, self.space, now["player"], created_at)),
+            lambda: self.match_table.merge(dims.dim_match(matches, teams, venues), unique_source=True),
+        )
 
     def build_fact(self, runs: list[str] | None = None) -> DataFrame:
         return fact_delivery(self.staged("delivery", runs), self.dim("match"), self.dim("team"), self.dim("player"))
@@ -102,8 +112,7 @@ class Warehouse:
     def load(self, raw: DataFrame, runs: list[str], loaded_at: datetime | Column | str) -> None:
         """Everything from raw bundles to the fact for the given runs. Repeating it changes nothing."""
         self.land(raw, loaded_at)
-        for name in STAGING:
-            self.stage(name, runs)
+        together(*[lambda name=name: self.stage(name, runs) for name in STAGING])
         self.refresh_dimensions(runs)
         self.merge_fact(runs)
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from matchmart.contracts import MANIFEST_COLUMNS, MANIFEST_DDL
 from matchmart.operators.latest import keep_first
 from matchmart.operators.layout import MAX_RECORDS_PER_FILE, clustered
+from matchmart.workspace import subdirectories
 
 FILE_RECORD, RUN_RECORD = "file", "run"
 UPLOADED, SKIPPED, ANY = "uploaded", "skipped", "any"
@@ -67,6 +68,21 @@ def read_manifests(spark: SparkSession, base: str, uri_field: str = "uri") -> Da
     )
 
 
+def read_newest_run(spark: SparkSession, base: str) -> DataFrame:
+    """The newest run's records, found by folder names alone: older manifests are not opened.
+
+    A run's folder lies under the date of the run, so the greatest run id is
+    under the greatest date.
+    """
+    dates = [d for d in subdirectories(spark, base) if d.startswith("ingest_date=")]
+    runs = [r for r in subdirectories(spark, f"{base}/{dates[-1]}") if r.startswith("run_id=")] if dates else []
+    if not runs:
+        raise NoNewInput("no run has been recorded")
+    day, run = dates[-1].partition("=")[2], runs[-1].partition("=")[2]
+    picked = (F.col("ingest_date") == F.lit(day).cast("date")) & (F.col("run_id") == run)
+    return read_manifests(spark, base).where(picked)
+
+
 def newest_run(manifest: DataFrame, run: str = "run_id") -> DataFrame:
     """Records of the run with the greatest id (ids sort by time).
 

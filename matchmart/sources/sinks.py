@@ -127,15 +127,17 @@ class BucketedTable:
         if not self.exists():
             self._write(source if unique_source else reject_repeated_keys(source, self.contract.key), self.path)
             return
-        incoming = self.space.freeze(source, "incoming")
+        batch, staged = self.space.fresh("incoming"), self.space.fresh("staged")
+        incoming = self.space.freeze(source, path=batch)
         # at most ``buckets`` numbers
         touched = [r["bucket"] for r in incoming.select("bucket").distinct().collect()]
         if not touched:
+            self.space.release(batch)
             return
         stored = self._stored().where(F.col("bucket").isin(touched))
         rest = [c for c in stored.columns if c not in self.contract.key]
         merged = upsert(stored, incoming, self.contract.key, rest, unique_source=unique_source)
-        staged = self.space.fresh("staged")
         self._write(merged, staged)
         rows = self.spark.read.schema(stored.schema).parquet(staged)
         self._put(rows.sortWithinPartitions("bucket", *self.contract.sort), self.path)
+        self.space.release(batch, staged)

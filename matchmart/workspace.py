@@ -10,6 +10,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,13 +48,21 @@ class Workspace:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def freeze(self, frame: DataFrame, name: str = "frozen") -> DataFrame:
+    def freeze(self, frame: DataFrame, name: str = "frozen", path: str | None = None) -> DataFrame:
         """Write the frame and continue from the files, so that later reads see the same rows."""
-        path = self.fresh(name)
+        path = path or self.fresh(name)
         schema = frame.schema
         frame.write.parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
+    def release(self, *paths: str) -> None:
+        """Remove intermediate tables of this workspace that are no longer needed."""
+        for path in paths:
+            if not path.startswith(f"{self.root}/"):
+                raise ValueError(f"{path} is not in this workspace")
+            target, fs = _hadoop(self.spark, path)
+            fs.delete(target, True)
+
     def once(self, name: str, write: Callable[[str], None]) -> str:
         """Run ``write(path)`` the first time ``name`` is asked for; return the path."""
         if name not in self._written:
@@ -61,19 +71,26 @@ class Workspace:
         return self.path(name)
 
 
+def _hadoop(spark: SparkSession, path: str) -> tuple[Any, Any]:
+    """The path and its file system."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a finished table (with its success marker) or file is at the path."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    target, fs = _hadoop(spark, path)
     return bool(fs.exists(target))
 
 
 def subdirectories(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly under a path, sorted; empty when there is none."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    target, fs = _hadoop(spark, path)
     if not fs.exists(target):
         return []
     return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
+
+
+def together(*jobs: Callable[[], Any]) -> list[Any]:
+    """Run independent Spark jobs at the same time, so that one fills the cores another leaves idle."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
