@@ -25,17 +25,19 @@ class UnmatchedDocuments(RuntimeError):
     """Documents without a manifest record."""
 
 
-def read_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """One row per JSON file: parsed fields, malformed text, and ``_source``."""
+def _texts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Whole file texts with their normalised path."""
     return (
-        spark.read.schema(DOCUMENT_DDL)
-        .option("multiLine", True)
-        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-        .json(paths)
-        .withColumn("_source", normalize_uri(F.col("_metadata.file_path")))
+        spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(paths)
+        .select(normalize_uri(F.col("_metadata.file_path")).alias("_source"), "value")
     )
 
 
+def read_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """One row per JSON file: parsed fields, malformed text, and ``_source``."""
+    return parse(_texts(spark, paths))
+
+
 def read_selected_files(
     spark: SparkSession, entries: DataFrame, glob: str, fail_when_empty: bool = False
 ) -> DataFrame:
@@ -61,11 +63,7 @@ def compact(spark: SparkSession, glob: str, entries: DataFrame, store: str) -> N
 
     Executed once per run; the run's folder is replaced when it is run again.
     """
-    texts = (
-        spark.read.option("wholetext", True)
-        .text(glob)
-        .select(normalize_uri(F.col("_metadata.file_path")).alias("_source"), F.col("value"))
-    )
+    texts = _texts(spark, glob)
     records = entries.withColumn("_source", normalize_uri("uri")).select(
         "_source", "stg_file_name", "stg_file_hashkey", "ingested_at", "run_id"
     )
@@ -91,11 +89,17 @@ def read_bundles(spark: SparkSession, store: str) -> DataFrame:
 
 
 def parse(raw: DataFrame, text: str = "value") -> DataFrame:
-    """Replace the raw text by its parsed fields; malformed text is kept for the rejects."""
+    """Replace the raw text by its parsed fields.
+
+    Malformed text is kept in the corrupt-record column; blank text counts as
+    malformed.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
     parsed = raw.withColumn("__doc", F.from_json(text, DOCUMENT_DDL, options))
     kept = [c for c in raw.columns if c != text]
-    return parsed.select(*kept, "__doc.*")
+    blank = F.when(F.col("__doc").isNull(), F.ifnull(text, F.lit("")))
+    corrupt = F.coalesce(F.col(f"__doc.{CORRUPT_COLUMN}"), blank).alias(CORRUPT_COLUMN)
+    return parsed.select(*kept, "__doc.info", "__doc.innings", corrupt)
 
 
 def attach_manifest(documents: DataFrame, entries: DataFrame) -> DataFrame:
