@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchmart.contracts import FACT_DELIVERY, STG_DELIVERY, conform
@@ -32,17 +35,19 @@ def latest_per_ball(deliveries: DataFrame) -> DataFrame:
     return keep_first(deliveries, BALL_KEY, order)
 
 
+def has_ball() -> Column:
+    """Whether a staged row names a ball."""
+    return reduce(and_, [F.col(c).isNotNull() for c in BALL_KEY])
+
+
 def keyed(deliveries: DataFrame) -> DataFrame:
     """Rows that name a ball."""
-    return deliveries.dropna(subset=list(BALL_KEY))
+    return deliveries.where(has_ball())
 
 
 def keyless(deliveries: DataFrame) -> DataFrame:
     """Rows of empty documents and empty innings: no ball, rejected by the fact."""
-    complete = F.lit(True)
-    for c in BALL_KEY:
-        complete = complete & F.col(c).isNotNull()
-    return deliveries.where(~complete)
+    return deliveries.where(~has_ball())
 
 
 def with_ball_flags(balls: DataFrame) -> DataFrame:

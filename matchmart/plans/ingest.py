@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,14 @@ from matchmart.sources import checksums, documents, manifests
 from matchmart.workspace import Workspace, subdirectories
 
 
+@dataclass(frozen=True)
+class IngestOutcome:
+    run_id: str
+    uploaded: int
+    skipped: int
+    elapsed_seconds: float
+
+
 def landed(spark: SparkSession, base: str) -> DataFrame:
     """What earlier runs loaded; nothing before the first run."""
     if not subdirectories(spark, base):
@@ -27,12 +37,13 @@ def ingest(
     space: Workspace,
     run_at: datetime,
     source: str = "",
-) -> str:
+) -> IngestOutcome:
     """Hash every file, mark new and changed ones ``uploaded`` and the others ``skipped``.
 
     The uploaded files' texts are compacted into the bundle store before the
     manifest is written: a run that dies in between is simply run again.
     """
+    started = time.monotonic()
     run_id, date = run_at.strftime("%Y%m%d_%H%M%S"), run_at.strftime("%Y-%m-%d")
     changes = checksums.detect_changes(
         checksums.scan_files(spark, files), landed(spark, base), "uri", "stg_file_hashkey"
@@ -54,8 +65,11 @@ def ingest(
         ),
         "entries",
     )
-    uploads = manifests.with_action(entries, manifests.UPLOADED)
-    if not uploads.isEmpty():
-        documents.compact(spark, files, uploads, store)
+    counts = {r["action"]: r["files"] for r in manifests.run_audit(entries).collect()}
+    if counts.get(manifests.UPLOADED):
+        documents.compact(spark, files, manifests.with_action(entries, manifests.UPLOADED), store)
     manifests.write_manifest(entries, base, run_id, date)
-    return run_id
+    return IngestOutcome(
+        run_id, counts.get(manifests.UPLOADED, 0), counts.get(manifests.SKIPPED, 0),
+        round(time.monotonic() - started, 2),
+    )

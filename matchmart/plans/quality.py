@@ -8,8 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchmart.contracts import Contract
-from matchmart.plans.fact import BALL_KEY, keyed, keyless
+from matchmart.contracts import FACT_KEY, Contract
+from matchmart.functions.keys import natural_key
+from matchmart.plans.fact import BALL_KEY, has_ball, keyed
 
 
 def duplicate_keys(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -71,32 +72,37 @@ def references(contract: Contract, child: DataFrame, parents: Mapping[str, DataF
 
 
 def reconcile(deliveries: DataFrame, fact: DataFrame) -> DataFrame:
-    """Where the staged delivery rows went: fact, later versions or wickets, empty rows, unresolved."""
-    staged = deliveries.agg(F.count("*").alias("n")).select(F.lit("staged").alias("step"), "n")
-    empty = keyless(deliveries)
-    no_innings = empty.where("innings_number IS NULL").agg(F.count("*").alias("n"))
-    no_overs = empty.where("innings_number IS NOT NULL").agg(F.count("*").alias("n"))
-    per_ball = keyed(deliveries).groupBy(*BALL_KEY).agg(F.count("*").alias("copies"))
-    balls = per_ball.agg(
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("long").alias("n")
+    """Where the staged delivery rows went: fact, later versions or wickets, empty rows, unresolved.
+
+    Three passes: one over the staged rows, one joining distinct balls with the
+    fact by ball key, one over the fact.
+    """
+    no_ball = ~has_ball()
+    staged = deliveries.agg(
+        F.count("*").alias("staged"),
+        F.count_if(no_ball & F.col("innings_number").isNull()).alias("rejected_no_innings"),
+        F.count_if(no_ball & F.col("innings_number").isNotNull()).alias("rejected_no_overs"),
+    )
+    per_ball = (
+        keyed(deliveries).groupBy(*BALL_KEY).agg(F.count("*").alias("copies"))
+        .withColumnsRenamed({"match_type_number": "match_id", "over": "over_number"})
     )
-    in_fact = fact.agg(F.count("*").alias("n"))
-    ids = per_ball.select(
-        F.col("match_type_number").alias("match_id"), "innings_number", F.col("over").alias("over_number"), "ball_in_over"
+    loaded = fact.select(*FACT_KEY, F.lit(True).alias("__loaded"))
+    balls = per_ball.join(loaded, list(FACT_KEY), "left").agg(
+        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("long").alias("deduplicated"),
+        F.count_if(F.col("__loaded").isNull()).alias("rejected_unresolved"),
     )
-    unresolved = ids.join(fact.select(*ids.columns), ids.columns, "left_anti").agg(F.count("*").alias("n"))
-    steps = {
-        "rejected_no_innings": no_innings, "rejected_no_overs": no_overs, "deduplicated": balls, "fact": in_fact,
-        "rejected_unresolved": unresolved,
-    }
-    parts = [f.select(F.lit(name).alias("step"), "n") for name, f in steps.items()]
-    return reduce(DataFrame.unionByName, [staged, *parts])
+    in_fact = fact.agg(F.count("*").alias("fact"))
+
+    def steps(row: DataFrame) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(c).alias("step"), F.col(c).alias("n")) for c in row.columns])
+        return row.select(F.inline(pairs))
+
+    return steps(staged).unionByName(steps(balls)).unionByName(steps(in_fact))
 
 
 def unknown_sides(deliveries: DataFrame, matches: DataFrame) -> DataFrame:
     """Rows whose batting side is neither of the match's two teams."""
-    from matchmart.functions.keys import natural_key
-
     teams = matches.select(
         "match_type_number", natural_key("first_team").alias("__one"), natural_key("second_team").alias("__two")
     ).distinct()

@@ -67,7 +67,8 @@ def compact(spark: SparkSession, glob: str, entries: DataFrame, store: str) -> N
     records = entries.withColumn("_source", normalize_uri("uri")).select(
         "_source", "stg_file_name", "stg_file_hashkey", "ingested_at", "run_id"
     )
-    write_bundles(texts.join(records, "_source"), store)
+    # tasks read few tiny files each; rebalancing gives bundles of ordinary size
+    write_bundles(texts.join(records, "_source").hint("rebalance", "run_id"), store)
 
 
 def write_bundles(raw: DataFrame, store: str) -> None:

@@ -14,7 +14,7 @@ TESTDATA = "/root/testdata"
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(8, memory="6g")
+    return local_session(8, memory="6g", **{"spark.sql.maxMetadataStringLength": "100000"})
 
 
 @pytest.fixture

@@ -21,7 +21,8 @@ def place(tmp_path, spark, space):
             write(tmp_path / "in", {f"{n}.json": c for n, c in cards.items()})
 
         def run(self, at):
-            return ingest(spark, self.files, self.base, self.store, space, at)
+            self.outcome = ingest(spark, self.files, self.base, self.store, space, at)
+            return self.outcome.run_id
 
         def manifest(self):
             return manifests.read_manifests(spark, self.base)
@@ -39,6 +40,7 @@ def test_new_changed_and_unchanged_files(spark, place):
     first = place.run(RUNS[0])
     place.put(b=scorecard(2, city="Elsewhere"), c=scorecard(3))
     second = place.run(RUNS[1])
+    assert (place.outcome.uploaded, place.outcome.skipped) == (2, 1) and place.outcome.elapsed_seconds > 0
     m = place.manifest()
     assert actions(m, first) == {"a.json": "uploaded", "b.json": "uploaded"}
     assert actions(m, second) == {"a.json": "skipped", "b.json": "uploaded", "c.json": "uploaded"}
