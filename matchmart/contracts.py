@@ -61,7 +61,7 @@ _LINEAGE_DDL = (
 
 _TYPES = {
     "BIGINT": T.LongType(), "INT": T.IntegerType(), "SMALLINT": T.ShortType(), "BOOLEAN": T.BooleanType(),
-    "DATE": T.DateType(), "TIMESTAMP": T.TimestampType(), "STRING": T.StringType(),
+    "DOUBLE": T.DoubleType(), "DATE": T.DateType(), "TIMESTAMP": T.TimestampType(), "STRING": T.StringType(),
 }
 
 
@@ -198,10 +198,18 @@ FACT_DELIVERY = Contract(
         "bowling_team_id": ("dim_team", "team_id"),
     },
 )
+MART_SUMMARY = Contract(
+    "batsman_summary", "mart",
+    "player_id BIGINT NOT NULL, batsman_name STRING, team_name STRING, opponent_team STRING NOT NULL,"
+    " match_id BIGINT NOT NULL, event_name STRING, match_type STRING, event_date DATE, season STRING,"
+    " runs_scored BIGINT, extras BIGINT, fours BIGINT, sixes BIGINT, balls_faced BIGINT, times_out BIGINT,"
+    " batting_average DOUBLE, strike_rate DOUBLE",
+    key=("player_id", "match_id", "opponent_team"), sort=("match_id", "player_id"),
+)
 
 CONTRACTS = {
     c.name: c
-    for c in (STG_MATCH, STG_PLAYER, STG_DELIVERY, DIM_TEAM, DIM_PLAYER, DIM_VENUE, DIM_DATE, DIM_MATCH, FACT_DELIVERY)
+    for c in (STG_MATCH, STG_PLAYER, STG_DELIVERY, DIM_TEAM, DIM_PLAYER, DIM_VENUE, DIM_DATE, DIM_MATCH, FACT_DELIVERY, MART_SUMMARY)
 }
 LAYERS = ("stg", "dw", "mart")
 

@@ -10,9 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchmart.contracts import FACT_KEY
+from matchmart.contracts import FACT_KEY, MART_SUMMARY
 from matchmart.functions.keys import natural_key
 from matchmart.functions.ratios import average, percentage
+from matchmart.sources.sinks import BucketedTable
+from matchmart.workspace import Workspace
 
 
 def _totals(runs: str = "runs_off_bat"):
@@ -174,3 +176,10 @@ def career_from_summary(summary: DataFrame) -> DataFrame:
     per_match = summary.groupBy(*who, "match_id").agg(*[F.sum(c).alias(a) for a, c in add.items()])
     rows = per_match.groupBy(*who).agg(F.count("*").alias("matches"), *[F.sum(a).alias(a) for a in add])
     return _ratios(rows, "total_runs", "times_out", "total_balls").drop("total_balls")
+
+
+def summary_table(space: Workspace, path: str, buckets: int = 16) -> BucketedTable:
+    """The stored summary, in buckets of matches."""
+    return BucketedTable(
+        space, path, MART_SUMMARY, lambda n: F.pmod(F.xxhash64("match_id"), F.lit(n)).cast("int"), buckets
+    )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from matchmart.contracts import STG_DELIVERY, STG_MATCH, STG_PLAYER, conform
 from matchmart.operators import flatten
-from matchmart.plans import dims
+from matchmart.plans import dims, marts
 from matchmart.plans.fact import fact_delivery, fact_table
 from matchmart.sources import documents as docs
 from matchmart.sources.sinks import Snapshots, read_history, write_history
@@ -37,6 +37,9 @@ class Warehouse:
         self.snapshots = {d: Snapshots(self.spark, f"{self.root}/dim_{d}") for d in SMALL_DIMENSIONS}
         self.match_table = dims.match_dimension(space, f"{self.root}/dim_match", max(1, buckets // 8))
         self.fact_table = fact_table(space, f"{self.root}/fact_delivery", buckets)
+        self.summary_table = marts.summary_table(space, f"{self.root}/batsman_summary", max(1, buckets // 4))
+        self.career = Snapshots(self.spark, f"{self.root}/batsman_career")
+        self.dismissal = Snapshots(self.spark, f"{self.root}/batsman_dismissal")
 
     # --- documents ---------------------------------------------------------
 
@@ -107,6 +110,23 @@ class Warehouse:
     def fact(self) -> DataFrame:
         return self.fact_table.read()
 
+    # --- marts -------------------------------------------------------------
+
+    def refresh_marts(self, runs: list[str] | None = None) -> None:
+        """Recompute the summary of the runs' matches (all without ``runs``), then the per-batsman marts."""
+        fact, players, teams, matches = self.fact(), self.dim("player"), self.dim("team"), self.dim("match")
+        touched = self.staged("match", runs).select(F.col("match_type_number").alias("match_id")).distinct()
+        if runs is not None:
+            fact = fact.join(touched, "match_id", "left_semi")
+        self.summary_table.replace_groups(marts.batsman_summary(fact, players, teams, matches), "match_id", touched)
+        together(
+            lambda: self.career.replace(marts.career_from_summary(self.summary())),
+            lambda: self.dismissal.replace(marts.batsman_dismissal(self.fact(), players)),
+        )
+
+    def summary(self) -> DataFrame:
+        return self.summary_table.read()
+
     # --- one batch ---------------------------------------------------------
 
     def load(self, raw: DataFrame, runs: list[str], loaded_at: datetime | Column | str) -> None:

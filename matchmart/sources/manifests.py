@@ -29,10 +29,11 @@ def run_headers(runs: DataFrame) -> DataFrame:
 
 
 def write_manifest(entries: DataFrame, base: str, run_id: str | None = None, ingest_date: str | None = None) -> None:
-    """Write the entries as JSON lines, a header for each run included.
+    """Write the entries as JSON lines, then a header for each run.
 
     Give ``run_id`` and ``ingest_date`` for a single run; otherwise the entries
-    carry both columns. Rewriting a run replaces it.
+    carry both columns. Rewriting a run replaces it. The header comes last: a
+    run that has one is complete.
     """
     spark = entries.sparkSession
     if run_id is not None:
@@ -42,15 +43,16 @@ def write_manifest(entries: DataFrame, base: str, run_id: str | None = None, ing
     else:
         runs = entries.select("ingest_date", "run_id").distinct()
     files = entries.withColumn("record_type", F.lit(FILE_RECORD)).select(*MANIFEST_COLUMNS, "ingest_date", "run_id")
-    rows = files.unionByName(run_headers(runs))
-    (
-        clustered(rows, ["ingest_date", "run_id"])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy("ingest_date", "run_id")
-        .json(base)
-    )
+    # replacing a run that had no files leaves its folder alone, so then the header replaces it
+    headers = "overwrite" if run_id is not None and entries.isEmpty() else "append"
+    for rows, mode in ((clustered(files, ["ingest_date", "run_id"]), "overwrite"), (run_headers(runs), headers)):
+        (
+            rows.write.mode(mode)
+            .option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+            .partitionBy("ingest_date", "run_id")
+            .json(base)
+        )
 
 
 def read_manifests(spark: SparkSession, base: str, uri_field: str = "uri") -> DataFrame:

@@ -117,7 +117,28 @@ class BucketedTable:
         )
 
     def merge(self, source: DataFrame, unique_source: bool = False) -> None:
-        """Upsert whole rows by the contract's key.
+        """Upsert whole rows by the contract's key."""
+        rest = [c for c in self.contract.columns if c not in self.contract.key]
+
+        def merged(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+            return upsert(stored, incoming, self.contract.key, [*rest, "bucket"], unique_source=unique_source)
+
+        if not unique_source and not self.exists():
+            source = reject_repeated_keys(conform(source, self.contract), self.contract.key)
+        self._rewrite(source, merged)
+
+    def replace_groups(self, source: DataFrame, group: str, groups: DataFrame) -> None:
+        """Drop every row of the given groups and put the source rows in their place.
+
+        The bucket has to depend on the group column alone.
+        """
+        def merged(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+            return stored.join(groups, group, "left_anti").select(*stored.columns).unionByName(incoming)
+
+        self._rewrite(source, merged, groups)
+
+    def _rewrite(self, source: DataFrame, merged, groups: DataFrame | None = None) -> None:
+        """Write the buckets the source (or the groups) touch anew.
 
         The merged buckets are staged first: a job that fails while writing
         them leaves the table as it was, and a failure while the staged buckets
@@ -125,19 +146,16 @@ class BucketedTable:
         """
         source = self._with_bucket(conform(source, self.contract))
         if not self.exists():
-            self._write(source if unique_source else reject_repeated_keys(source, self.contract.key), self.path)
+            self._write(source, self.path)
             return
         batch, staged = self.space.fresh("incoming"), self.space.fresh("staged")
         incoming = self.space.freeze(source, path=batch)
         # at most ``buckets`` numbers
-        touched = [r["bucket"] for r in incoming.select("bucket").distinct().collect()]
-        if not touched:
-            self.space.release(batch)
-            return
-        stored = self._stored().where(F.col("bucket").isin(touched))
-        rest = [c for c in stored.columns if c not in self.contract.key]
-        merged = upsert(stored, incoming, self.contract.key, rest, unique_source=unique_source)
-        self._write(merged, staged)
-        rows = self.spark.read.schema(stored.schema).parquet(staged)
-        self._put(rows.sortWithinPartitions("bucket", *self.contract.sort), self.path)
+        hit = incoming if groups is None else self._with_bucket(groups)
+        touched = [r["bucket"] for r in hit.select("bucket").distinct().collect()]
+        if touched:
+            stored = self._stored().where(F.col("bucket").isin(touched))
+            self._write(merged(stored, incoming), staged)
+            rows = self.spark.read.schema(stored.schema).parquet(staged)
+            self._put(rows.sortWithinPartitions("bucket", *self.contract.sort), self.path)
         self.space.release(batch, staged)

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 from scorecards import ball, overs, scorecard
 
+from matchmart.contracts import MANIFEST_DDL
+from matchmart.plans import marts
 from matchmart.plans.warehouse import Warehouse
 from matchmart.sources.documents import write_bundles
 from matchmart.sources.manifests import write_manifest
@@ -36,7 +38,7 @@ def site(spark, space, tmp_path):
             write_manifest(entries, self.manifests, run, "2024-05-01")
 
         def run(self):
-            run_available(spark, self.manifests, self.store, self.warehouse, self.checkpoint, lambda _: AT)
+            run_available(spark, self.manifests, self.store, self.warehouse, self.checkpoint, lambda _: AT, marts=True)
 
         def runs(self):
             return {r.match_id: r.r for r in self.warehouse.fact().groupBy("match_id").agg(F.sum("runs_off_bat").alias("r")).collect()}
@@ -63,13 +65,26 @@ def test_batches_corrections_and_quiet_runs(site):
     assert site.runs() == {1: 10, 2: 1, 3: 2}
     assert {r.player_key: r.player_id for r in site.warehouse.dim("player").collect()} == ids
     assert site.warehouse.fact().count() == 4
+    house = site.warehouse
+    whole = marts.batsman_summary(house.fact(), house.dim("player"), house.dim("team"), house.dim("match"))
+    assert sorted(map(tuple, house.summary().collect())) == sorted(map(tuple, whole.collect()))
+    (career,) = house.career.current().collect()
+    assert (career.matches, career.total_runs) == (3, 13)
+
+
+def test_a_run_is_loaded_whole_when_its_header_arrives(spark, site):
+    site.arrive("r1", {"a": card(1, 4), "b": card(2, 6)})
+    arrived = spark.read.schema(MANIFEST_DDL).json(site.manifests)
+    args = (site.manifests, site.store, site.warehouse, AT)
+    assert process_batch(arrived.where("uri LIKE '%a.json'"), *args) == []
+    assert process_batch(arrived.where("record_type = 'run'"), *args) == ["r1"]
+    assert site.runs() == {1: 4, 2: 6}
 
 
 def test_a_repeated_batch_changes_nothing(spark, site):
     site.arrive("r1", {"a": card(1, 4, 4)})
-    entries = spark.read.schema("record_type STRING, uri STRING, stg_file_hashkey STRING, ingested_at STRING,"
-                                " action STRING, run_id STRING, ingest_date DATE").json(site.manifests)
+    entries = spark.read.schema(MANIFEST_DDL).json(site.manifests)
     for _ in range(2):
-        assert process_batch(entries, site.store, site.warehouse, AT) == ["r1"]
+        assert process_batch(entries, site.manifests, site.store, site.warehouse, AT) == ["r1"]
         assert site.runs() == {1: 8} and site.warehouse.staged("delivery").count() == 2
         assert site.warehouse.dim("match").count() == 1 and site.warehouse.dim("date").count() == 1
