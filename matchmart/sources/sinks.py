@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from matchmart.contracts import Contract, conform
 from matchmart.operators.layout import MAX_RECORDS_PER_FILE, clustered, file_count
 from matchmart.operators.upsert import reject_repeated_keys, upsert
-from matchmart.workspace import Workspace, exists, subdirectories
+from matchmart.workspace import Workspace, exists, remove, subdirectories
 
 HISTORY_PARTITIONS = ("ingest_date", "run_id")
 
@@ -158,4 +158,7 @@ class BucketedTable:
             self._write(merged(stored, incoming), staged)
             rows = self.spark.read.schema(stored.schema).parquet(staged)
             self._put(rows.sortWithinPartitions("bucket", *self.contract.sort), self.path)
+            # a folder nothing was written for is not overwritten: its rows are all gone
+            filled = set(subdirectories(self.spark, staged))
+            remove(self.spark, *[f"{self.path}/bucket={b}" for b in touched if f"bucket={b}" not in filled])
         self.space.release(batch, staged)

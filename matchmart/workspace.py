@@ -60,8 +60,7 @@ class Workspace:
         for path in paths:
             if not path.startswith(f"{self.root}/"):
                 raise ValueError(f"{path} is not in this workspace")
-            target, fs = _hadoop(self.spark, path)
-            fs.delete(target, True)
+        remove(self.spark, *paths)
 
     def once(self, name: str, write: Callable[[str], None]) -> str:
         """Run ``write(path)`` the first time ``name`` is asked for; return the path."""
@@ -82,6 +81,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(target))
 
 
+def remove(spark: SparkSession, *paths: str) -> None:
+    for path in paths:
+        target, fs = _hadoop(spark, path)
+        fs.delete(target, True)
+
+
 def subdirectories(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly under a path, sorted; empty when there is none."""
     target, fs = _hadoop(spark, path)

@@ -3,9 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from matchmart.contracts import DIM_TEAM, FACT_DELIVERY, STG_MATCH, conform, create_layers, create_table
+from matchmart.contracts import DIM_TEAM, FACT_DELIVERY, MART_SUMMARY, STG_MATCH, conform, create_layers, create_table
 from matchmart.operators.upsert import insert_only, upsert
 from matchmart.plans.fact import fact_table
+from matchmart.plans.marts import summary_table
 from matchmart.sources import sinks
 
 TARGET = [(1, "a", "keep1", 10), (2, "b", "keep2", 20), (None, "n", "keep3", 30)]
@@ -92,6 +93,22 @@ def test_long_matches_spread_over_buckets(spark, space, tmp_path):
     assert len(list(tmp_path.glob("fact/bucket=*"))) > 8
 
 
+def test_replacing_groups_drops_rows_that_are_gone(spark, space, tmp_path):
+    table = summary_table(space, str(tmp_path / "mart"), buckets=8)
+
+    def rows_of(*pairs):
+        frame = spark.createDataFrame([(m, p, "x") for m, p in pairs], "match_id LONG, player_id LONG, opponent_team STRING")
+        return conform(frame, MART_SUMMARY)
+
+    def groups(*ids):
+        return spark.createDataFrame([(i,) for i in ids], "match_id LONG")
+
+    table.replace_groups(rows_of(*[(m, p) for m in range(6) for p in (1, 2)]), "match_id", groups(*range(6)))
+    table.replace_groups(rows_of((1, 9), (7, 1)), "match_id", groups(0, 1, 2, 7))
+    assert sorted((r.match_id, r.player_id) for r in table.read().collect()) == [
+        (1, 9), (3, 1), (3, 2), (4, 1), (4, 2), (5, 1), (5, 2), (7, 1)]
+
+
 def test_snapshots_switch_to_finished_versions(spark, tmp_path):
     shots = sinks.Snapshots(spark, str(tmp_path / "dim"))
     assert shots.current() is None
