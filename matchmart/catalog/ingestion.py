@@ -10,7 +10,6 @@ from matchmart.catalog.lake import Lake
 from matchmart.catalog.oracles import as_text, over_documents, over_manifest
 from matchmart.catalog.registry import query
 from matchmart.contracts import CONTRACTS, STG_DELIVERY, STG_MATCH, STG_PLAYER, length_report
-from matchmart.functions.uris import normalize_uri
 from matchmart.sources import checksums, documents, manifests, sinks
 
 _RECORD = ("uri", "stg_file_name", "stg_file_hashkey", "ingested_at", "size_bytes", "action", "ingest_date", "run_id")
@@ -101,8 +100,7 @@ def scorecard_roundtrip(lake: Lake) -> DataFrame:
     """Every document listed by the manifest, read back from its JSON text and measured."""
     raw = lake.raw()
     entries = manifests.select_entries(fixtures.document_manifest(raw), mode="all")
-    listed = raw.join(entries.select(normalize_uri("uri").alias("__uri")), normalize_uri("_source") == F.col("__uri"),
-                      "left_semi")
+    listed = documents.only_listed(raw, raw, documents.listed_keys(entries), lake.space)
     parsed = documents.well_formed(documents.parse(listed))
     overs = F.flatten(F.col("innings.overs"))
     balls = F.flatten(F.transform(overs, lambda o: o["deliveries"]))

@@ -53,7 +53,7 @@ def curate(
     if mode == "all":
         found = documents.read_files(spark, files)
     else:
-        found = documents.read_selected_files(spark, entries, files, fail_when_empty)
+        found = documents.read_selected_files(spark, entries, files, space, fail_when_empty)
     parsed = space.freeze(
         documents.with_lineage(
             documents.attach_manifest(found, entries), loaded_at or datetime.now(timezone.utc)

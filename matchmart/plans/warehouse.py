@@ -39,6 +39,7 @@ class Warehouse:
         self.fact_table = fact_table(space, f"{self.root}/fact_delivery", buckets)
         self.summary_table = marts.summary_table(space, f"{self.root}/batsman_summary", max(1, buckets // 4))
         self.career = Snapshots(self.spark, f"{self.root}/batsman_career")
+        self.career_ext = Snapshots(self.spark, f"{self.root}/batsman_career_ext")
         self.dismissal = Snapshots(self.spark, f"{self.root}/batsman_dismissal")
 
     # --- documents ---------------------------------------------------------
@@ -121,6 +122,7 @@ class Warehouse:
         self.summary_table.replace_groups(marts.batsman_summary(fact, players, teams, matches), "match_id", touched)
         together(
             lambda: self.career.replace(marts.career_from_summary(self.summary())),
+            lambda: self.career_ext.replace(marts.batsman_career_ext(self.fact(), players, teams, matches)),
             lambda: self.dismissal.replace(marts.batsman_dismissal(self.fact(), players)),
         )
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from matchmart.contracts import CORRUPT_COLUMN, DOCUMENT_DDL
 from matchmart.functions.uris import basename, normalize_uri
 from matchmart.sources.manifests import NoNewInput
+from matchmart.workspace import Workspace
 
 #: beyond this many files the list is joined instead of being sent through the driver
 MAX_LISTED_PATHS = 10_000
@@ -38,13 +39,31 @@ def read_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return parse(_texts(spark, paths))
 
 
+def only_listed(documents: DataFrame, names: DataFrame, entries: DataFrame, space: Workspace) -> DataFrame:
+    """The documents whose path the entries list.
+
+    Raw texts must not be shuffled to be filtered. The paths alone (``names``,
+    a narrow read of the same documents) are compared with the entries, and the
+    usually few that are *not* listed are written and dropped by an anti join:
+    their file size tells Spark whether to broadcast them.
+    """
+    keys = [c for c in ("_source", "run_id") if c in names.columns and c in entries.columns]
+    unlisted = names.select(*keys).join(entries.select(*keys), keys, "left_anti")
+    return documents.join(space.freeze(unlisted.distinct(), "unlisted"), keys, "left_anti")
+
+
+def listed_keys(entries: DataFrame) -> DataFrame:
+    """Normalised path and run of manifest entries."""
+    return entries.select(normalize_uri("uri").alias("_source"), "run_id")
+
+
 def read_selected_files(
-    spark: SparkSession, entries: DataFrame, glob: str, fail_when_empty: bool = False
+    spark: SparkSession, entries: DataFrame, glob: str, space: Workspace, fail_when_empty: bool = False
 ) -> DataFrame:
     """Documents the manifest entries list.
 
     A small list (checked, at most ``MAX_LISTED_PATHS``) is opened path by path.
-    A larger one never reaches the driver: the glob is read and semi-joined.
+    A larger one never reaches the driver: the glob is read without the rest.
     """
     wanted = entries.select("uri").distinct()
     listed = [r["uri"] for r in wanted.limit(MAX_LISTED_PATHS + 1).collect()]
@@ -54,8 +73,11 @@ def read_selected_files(
         return read_files(spark, glob).limit(0)
     if len(listed) <= MAX_LISTED_PATHS:
         return read_files(spark, listed)
-    keys = wanted.select(normalize_uri("uri").alias("_source"))
-    return read_files(spark, glob).join(keys, "_source", "left_semi")
+    # paths come from the folder listing; without their content the files are not opened
+    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(glob).select(
+        normalize_uri("path").alias("_source")
+    )
+    return only_listed(read_files(spark, glob), names, wanted.select(normalize_uri("uri").alias("_source")), space)
 
 
 def compact(spark: SparkSession, glob: str, entries: DataFrame, store: str) -> None:
@@ -82,11 +104,12 @@ def write_bundles(raw: DataFrame, store: str) -> None:
 
 
 def read_bundles(spark: SparkSession, store: str) -> DataFrame:
+    """The raw texts with their records; paths normalised."""
     ddl = (
         "_source STRING, stg_file_name STRING, stg_file_hashkey STRING, ingested_at STRING, value STRING,"
         " run_id STRING"
     )
-    return spark.read.schema(ddl).parquet(store)
+    return spark.read.schema(ddl).parquet(store).withColumn("_source", normalize_uri("_source"))
 
 
 def parse(raw: DataFrame, text: str = "value") -> DataFrame:

@@ -70,9 +70,14 @@ class Snapshots:
             if v.startswith("v") and exists(self.spark, f"{self.base}/{v}/_SUCCESS")
         ]
 
-    def current(self) -> DataFrame | None:
+    def location(self) -> str | None:
+        """Folder of the current version."""
         done = self._finished()
-        return self.spark.read.parquet(f"{self.base}/{done[-1]}") if done else None
+        return f"{self.base}/{done[-1]}" if done else None
+
+    def current(self) -> DataFrame | None:
+        path = self.location()
+        return self.spark.read.parquet(path) if path else None
 
     def replace(self, frame: DataFrame) -> DataFrame:
         """Write the next version; readers keep seeing the old one until it is complete."""

@@ -51,7 +51,7 @@ def test_new_changed_and_unchanged_files(spark, place):
         ("a.json", first), ("b.json", first), ("b.json", second), ("c.json", second)}
 
 
-def test_a_run_without_news_is_the_newest_run(spark, place):
+def test_a_run_without_news_is_the_newest_run(spark, space, place):
     place.put(a=scorecard(1))
     place.run(RUNS[0])
     quiet = place.run(RUNS[1])
@@ -59,8 +59,8 @@ def test_a_run_without_news_is_the_newest_run(spark, place):
     assert {r.run_id for r in newest.select("run_id").collect()} == {quiet}
     assert manifests.select_entries(place.manifest()).isEmpty()
     with pytest.raises(manifests.NoNewInput):
-        documents.read_selected_files(spark, manifests.select_entries(place.manifest()), place.files, fail_when_empty=True)
-    assert documents.read_selected_files(spark, manifests.select_entries(place.manifest()), place.files).isEmpty()
+        documents.read_selected_files(spark, manifests.select_entries(place.manifest()), place.files, space, fail_when_empty=True)
+    assert documents.read_selected_files(spark, manifests.select_entries(place.manifest()), place.files, space).isEmpty()
 
 
 def test_an_empty_folder_still_records_its_run(spark, place, tmp_path):
@@ -99,16 +99,16 @@ def test_rerun_of_a_run_replaces_it(spark, place):
     assert place.manifest().count() == before
 
 
-def test_selected_files_by_list_and_by_join(spark, place, monkeypatch):
+def test_selected_files_by_list_and_by_join(spark, space, place, monkeypatch):
     place.put(a=scorecard(1), b=scorecard(2), **{"c d": scorecard(3)})
     place.run(RUNS[0])
     entries = manifests.select_entries(place.manifest(), mode="date", date="2024-03-01").where(
         F.col("stg_file_name") != "a.json"
     )
-    by_list = documents.read_selected_files(spark, entries, place.files)
+    by_list = documents.read_selected_files(spark, entries, place.files, space)
     assert sorted(r.info.match_type_number for r in by_list.collect()) == [2, 3]
     monkeypatch.setattr(documents, "MAX_LISTED_PATHS", 1)
-    by_join = documents.read_selected_files(spark, entries, place.files)
+    by_join = documents.read_selected_files(spark, entries, place.files, space)
     assert sorted(r.info.match_type_number for r in by_join.collect()) == [2, 3]
 
 

@@ -8,6 +8,7 @@ from scorecards import ball, overs, scorecard
 
 from matchmart.contracts import MANIFEST_DDL
 from matchmart.plans import marts
+from matchmart.plans.publish import publish
 from matchmart.plans.warehouse import Warehouse
 from matchmart.sources.documents import write_bundles
 from matchmart.sources.manifests import write_manifest
@@ -72,6 +73,26 @@ def test_batches_corrections_and_quiet_runs(site):
     assert (career.matches, career.total_runs) == (3, 13)
 
 
+def test_published_views_answer_sql(spark, site):
+    site.arrive("r1", {"a": card(1134, 4), "b": card(1927, 6, 1)})
+    site.run()
+    names = publish(site.warehouse)
+    assert len(names) == 13
+    assert spark.sql("SELECT * FROM stg.delivery_table WHERE match_type_number = 1134 AND innings_number = 1").count() == 1
+    assert spark.sql("SELECT * FROM dw.fact_delivery WHERE match_id = 1927").count() == 2
+    found = spark.sql("SELECT * FROM mart.batsman_summary_mv WHERE batsman_name LIKE '%one%' ORDER BY match_id")
+    assert [(r.match_id, r.runs_scored) for r in found.collect()] == [(1134, 4), (1927, 7)]
+    assert spark.sql("SELECT * FROM mart.batsman_career_mv WHERE batsman_name LIKE '%one%'").first().total_runs == 11
+    assert spark.sql("SELECT * FROM mart.batsman_dismissal_mv").isEmpty()
+    assert dict(spark.table("stg.match_table").dtypes)["run_id"] == "string"
+    site.arrive("r2", {"c": card(3, 2)})
+    site.run()
+    publish(site.warehouse)
+    assert spark.sql("SELECT count(*) AS n FROM dw.dim_match").first().n == 3
+    for name in names:
+        spark.sql(f"DROP VIEW {name}")
+
+
 def test_a_run_is_loaded_whole_when_its_header_arrives(spark, site):
     site.arrive("r1", {"a": card(1, 4), "b": card(2, 6)})
     arrived = spark.read.schema(MANIFEST_DDL).json(site.manifests)
