@@ -4,15 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from matchmart.llm.common import table, workspace
 from matchmart.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_digest
 from matchmart.llm.mixing import mixing_digest
+from matchmart.llm.token_files import token_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+VOCABULARY = "word_bpe_49k.json"
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digest(table(spark, sf_dir, "documents"), workspace(spark), public_tokenizers.path(VOCABULARY))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_digest(table(spark, sf_dir, "documents"), workspace(spark))
 
@@ -22,6 +31,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_token_files": op2_token_files,
     "op4_line_dedup": op4_line_dedup,
     "op5_mixing": op5_mixing,
 }
