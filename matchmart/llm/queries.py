@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from matchmart.llm.common import table, workspace
 from matchmart.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_digest
 from matchmart.llm.mixing import mixing_digest
+from matchmart.llm.near_dedup import near_digest
 from matchmart.llm.token_files import token_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,10 +31,15 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_digest(table(spark, sf_dir, "documents"), workspace(spark))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_digest(table(spark, sf_dir, "documents"), workspace(spark))
+
+
 QUERIES: dict[str, Query] = {
     "op2_token_files": op2_token_files,
     "op4_line_dedup": op4_line_dedup,
     "op5_mixing": op5_mixing,
+    "op6_near_dedup": op6_near_dedup,
 }
 
 ORACLES: dict[str, str] = {"op4_line_dedup": LINE_DEDUP_SQL}
