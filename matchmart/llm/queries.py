@@ -11,7 +11,9 @@ from matchmart.llm.common import table, workspace
 from matchmart.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_digest
 from matchmart.llm.mixing import mixing_digest
 from matchmart.llm.near_dedup import near_digest
+from matchmart.llm.quality import quality_digest
 from matchmart.llm.token_files import token_digest
+from matchmart.llm.toxicity import toxicity_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,10 +21,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = "word_bpe_49k.json"
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), workspace(spark))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(table(spark, sf_dir, "documents"), workspace(spark), public_tokenizers.path(VOCABULARY))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), workspace(spark))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_digest(table(spark, sf_dir, "documents"), workspace(spark))
 
@@ -36,7 +46,9 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
     "op2_token_files": op2_token_files,
+    "op3_toxicity": op3_toxicity,
     "op4_line_dedup": op4_line_dedup,
     "op5_mixing": op5_mixing,
     "op6_near_dedup": op6_near_dedup,
