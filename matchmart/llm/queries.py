@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from matchmart.llm.common import table, workspace
+from matchmart.llm.fingerprints import fingerprint_digest
 from matchmart.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_digest
 from matchmart.llm.mixing import mixing_digest
 from matchmart.llm.near_dedup import near_digest
@@ -45,6 +46,10 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_digest(table(spark, sf_dir, "documents"), workspace(spark))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_digest(table(spark, sf_dir, "documents"), workspace(spark))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_token_files": op2_token_files,
@@ -52,6 +57,7 @@ QUERIES: dict[str, Query] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_mixing": op5_mixing,
     "op6_near_dedup": op6_near_dedup,
+    "op7_fingerprints": op7_fingerprints,
 }
 
 ORACLES: dict[str, str] = {"op4_line_dedup": LINE_DEDUP_SQL}
