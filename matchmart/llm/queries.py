@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from matchmart.llm.class_model import language_digest
 from matchmart.llm.common import table, workspace
 from matchmart.llm.fingerprints import fingerprint_digest
 from matchmart.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_digest
@@ -50,6 +51,10 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_digest(table(spark, sf_dir, "documents"), workspace(spark))
 
 
+def op10_class_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_digest(table(spark, sf_dir, "documents"), workspace(spark))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_token_files": op2_token_files,
@@ -58,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op5_mixing": op5_mixing,
     "op6_near_dedup": op6_near_dedup,
     "op7_fingerprints": op7_fingerprints,
+    "op10_class_model": op10_class_model,
 }
 
 ORACLES: dict[str, str] = {"op4_line_dedup": LINE_DEDUP_SQL}
