@@ -16,6 +16,7 @@ from matchmart.llm.near_dedup import near_digest
 from matchmart.llm.quality import quality_digest
 from matchmart.llm.token_files import token_digest
 from matchmart.llm.toxicity import toxicity_digest
+from matchmart.llm.vector_search import search_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +52,10 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_digest(table(spark, sf_dir, "documents"), workspace(spark))
 
 
+def op9_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_digest(table(spark, sf_dir, "embeddings"), workspace(spark))
+
+
 def op10_class_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_digest(table(spark, sf_dir, "documents"), workspace(spark))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op5_mixing": op5_mixing,
     "op6_near_dedup": op6_near_dedup,
     "op7_fingerprints": op7_fingerprints,
+    "op9_vector_search": op9_vector_search,
     "op10_class_model": op10_class_model,
 }
 
