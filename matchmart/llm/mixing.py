@@ -118,7 +118,6 @@ def mix_sources(docs: DataFrame, space: Workspace, seed: int = SEED, max_copies:
     the certain copies of its source only. A null source is a source of its
     own, the last one. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
     draw = unit_draw(F.col("doc_id"), F.xxhash64(text_or_empty()), seed=seed)
     narrow = space.freeze(
         docs.select(F.col("source").cast("string").alias("source"), word_count().alias("size"), draw.alias("draw")), "narrow"
@@ -144,14 +143,14 @@ def mix_sources(docs: DataFrame, space: Workspace, seed: int = SEED, max_copies:
         F.col("target").alias("__target"), "whole", "chance", "cut", "end",
     )
     sized = docs.select(
-        "*", word_count().alias("__size"), draw.alias("draw__"), F.col("source").isNull().alias("__none"),
+        F.struct("*").alias("__row"), word_count().alias("__size"), draw.alias("draw"), F.col("source").isNull().alias("__none"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("__name"),
     )
-    rank = _rank(F.col("draw__"), F.col("chance"))
+    rank = _rank(F.col("draw"), F.col("chance"))
     drawn = (rank <= F.col("cut")) | F.coalesce(rank == F.col("end"), F.lit(False))
     more = F.coalesce(drawn & (F.col("__size") > 0), F.lit(False))
-    return sized.join(decided, ["__none", "__name"]).withColumn("__copies", F.col("whole") + more.cast("long")).drop(
-        "__none", "__name", "whole", "chance", "cut", "end", "draw__"
+    return sized.join(decided, ["__none", "__name"]).select(
+        "__row.*", "__size", "__source_size", "__target", (F.col("whole") + more.cast("long")).alias("__copies")
     )
 
 

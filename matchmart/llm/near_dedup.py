@@ -199,7 +199,7 @@ def keep_one(docs: DataFrame, space: Workspace, least: int = LEAST) -> DataFrame
     seen = linked.groupBy("doc").agg(F.min("component").alias("component"), F.count("*").alias("n"))
     gone = space.freeze(seen.where(F.col("doc") != F.col("component")).select("doc"), "gone")
     again = space.freeze(seen.where(F.col("n") > 1).select("doc"), "again")
-    stays = docs.withColumn("doc", doc).join(gone, "doc", "left_anti")
+    stays = docs.select(doc.alias("doc"), F.struct("*").alias("row")).join(gone, "doc", "left_anti")
     single = stays.join(again, "doc", "left_anti")
     multiple = stays.join(again, "doc", "left_semi").dropDuplicates(["doc"])
-    return single.unionByName(multiple).select(*docs.columns)
+    return single.union(multiple).select("row.*")

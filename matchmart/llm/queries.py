@@ -13,6 +13,7 @@ from matchmart.llm.fingerprints import fingerprint_digest
 from matchmart.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_digest
 from matchmart.llm.mixing import mixing_digest
 from matchmart.llm.near_dedup import near_digest
+from matchmart.llm.packing import pack_documents
 from matchmart.llm.quality import quality_digest
 from matchmart.llm.token_files import token_digest
 from matchmart.llm.toxicity import toxicity_digest
@@ -52,6 +53,10 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_digest(table(spark, sf_dir, "documents"), workspace(spark))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), workspace(spark))
+
+
 def op9_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_digest(table(spark, sf_dir, "embeddings"), workspace(spark))
 
@@ -68,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op5_mixing": op5_mixing,
     "op6_near_dedup": op6_near_dedup,
     "op7_fingerprints": op7_fingerprints,
+    "op8_packing": op8_packing,
     "op9_vector_search": op9_vector_search,
     "op10_class_model": op10_class_model,
 }
