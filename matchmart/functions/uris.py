@@ -24,4 +24,4 @@ def normalize_uri(c: Column | str) -> Column:
 
 def basename(c: Column | str) -> Column:
     """Last path segment, for either kind of slash."""
-    return F.regexp_extract(_col(c), r"[^/\\]+$", 0)
+    return F.element_at(F.split(F.replace(_col(c), F.lit("\\"), F.lit("/")), "/"), -1)

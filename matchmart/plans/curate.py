@@ -26,7 +26,7 @@ class Curated:
 
 def curate(
     spark: SparkSession,
-    files: str,
+    store: str,
     manifest_base: str,
     output: str,
     mode: str = "latest",
@@ -37,30 +37,28 @@ def curate(
     output_files: int = 0,
     csv: bool = False,
     loaded_at: datetime | None = None,
+    files: str | None = None,
 ) -> Curated:
     """Flatten the selected documents into match, player and delivery tables.
 
-    ``latest`` and ``date`` load the files their manifests list; ``all`` loads
-    every file and, unless told otherwise, fails when one has no manifest
-    record. Each table gets its history partitions and, beside them, a fixed
+    ``latest``, ``date`` and ``all`` load the texts their manifests list from the
+    bundle store; a listed file without a text is an error. ``files`` loads every
+    file below the folder ``files`` and, unless told otherwise, fails when one
+    has no manifest record. Each table gets its history partitions and, beside them, a fixed
     folder with the newest run's rows (and a CSV copy on request). Documents
     are parsed once; nothing is appended twice when the job runs again.
     """
     space = Workspace(spark)
     recorded = manifests.read_newest_run(spark, manifest_base) if mode == "latest" else manifests.read_manifests(
         spark, manifest_base)
-    entries = space.freeze(manifests.select_entries(recorded, mode, action, date), "entries")
-    if mode == "all":
-        found = documents.read_files(spark, files)
+    picked = manifests.select_entries(recorded, "all" if mode == "files" else mode, action, date)
+    entries = space.freeze(picked, "entries")
+    if mode == "files":
+        found = documents.attach_manifest(documents.read_files(spark, files), entries)
     else:
-        found = documents.read_selected_files(spark, entries, files, space, fail_when_empty)
-    parsed = space.freeze(
-        documents.with_lineage(
-            documents.attach_manifest(found, entries), loaded_at or datetime.now(timezone.utc)
-        ),
-        "parsed",
-    )
-    if mode == "all" and fail_on_unmatched:
+        found = documents.read_selected(spark, store, entries, space, fail_when_empty)
+    parsed = space.freeze(documents.with_lineage(found, loaded_at or datetime.now(timezone.utc)), "parsed")
+    if mode == "files" and fail_on_unmatched:
         documents.require_matched(parsed)
     run_id = parsed.agg(F.max("run_id")).first()[0]
     history = {name: f"{output.rstrip('/')}/{contract.name}/history" for name, (contract, _) in STAGING.items()}

@@ -22,11 +22,11 @@ class IngestOutcome:
     elapsed_seconds: float
 
 
-def landed(spark: SparkSession, base: str) -> DataFrame:
-    """What earlier runs loaded; nothing before the first run."""
+def landed(spark: SparkSession, base: str, except_run: str | None = None) -> DataFrame:
+    """What other complete runs loaded; nothing before the first run."""
     if not subdirectories(spark, base):
         return spark.createDataFrame([], "uri STRING, stg_file_hashkey STRING")
-    return manifests.landed_state(manifests.read_manifests(spark, base))
+    return manifests.landed_state(manifests.read_manifests(spark, base), except_run)
 
 
 def ingest(
@@ -37,17 +37,20 @@ def ingest(
     space: Workspace,
     run_at: datetime,
     source: str = "",
+    modified_after: str | None = None,
 ) -> IngestOutcome:
     """Hash every file, mark new and changed ones ``uploaded`` and the others ``skipped``.
 
-    The uploaded files' texts are compacted into the bundle store before the
-    manifest is written: a run that dies in between is simply run again.
+    Files are read once, for checksum and text together. The uploaded ones'
+    texts go to the bundle store before the manifest is written: a run that
+    dies in between is simply run again, and running a run again repeats it.
+    ``modified_after`` leaves older files unopened and unrecorded.
     """
     started = time.monotonic()
     run_id, date = run_at.strftime("%Y%m%d_%H%M%S"), run_at.strftime("%Y-%m-%d")
-    changes = checksums.detect_changes(
-        checksums.scan_files(spark, files), landed(spark, base), "uri", "stg_file_hashkey"
-    )
+    kept = space.fresh("scanned")
+    scanned = space.freeze(checksums.scan_texts(spark, files, modified_after=modified_after), path=kept)
+    changes = checksums.detect_changes(scanned.drop("value"), landed(spark, base, run_id), "uri", "stg_file_hashkey")
     action = F.when(F.col("status") == checksums.UNCHANGED, F.lit(manifests.SKIPPED)).otherwise(
         F.lit(manifests.UPLOADED)
     )
@@ -67,8 +70,16 @@ def ingest(
     )
     counts = {r["action"]: r["files"] for r in manifests.run_audit(entries).collect()}
     if counts.get(manifests.UPLOADED):
-        documents.compact(spark, files, manifests.with_action(entries, manifests.UPLOADED), store)
+        unchanged = space.freeze(manifests.with_action(entries, manifests.SKIPPED).select("uri"), "unchanged")
+        stamp = entries.select("ingested_at").first()["ingested_at"]
+        documents.write_bundles(
+            scanned.join(unchanged, "uri", "left_anti").select(
+                F.col("uri").alias("_source"), basename("uri").alias("stg_file_name"), "stg_file_hashkey",
+                F.lit(stamp).alias("ingested_at"), "value", F.lit(run_id).alias("run_id"),
+            ).hint("rebalance", "run_id"), store,
+        )
     manifests.write_manifest(entries, base, run_id, date)
+    space.release(kept)
     return IngestOutcome(
         run_id, counts.get(manifests.UPLOADED, 0), counts.get(manifests.SKIPPED, 0),
         round(time.monotonic() - started, 2),

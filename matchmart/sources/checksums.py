@@ -11,19 +11,33 @@ from matchmart.operators.latest import keep_first
 NEW, CHANGED, UNCHANGED = "new", "changed", "unchanged"
 
 
-def scan_files(spark: SparkSession, path: str | list[str], pattern: str = "*.json") -> DataFrame:
-    """uri, size_bytes and SHA-256 of every file; hashing runs in the tasks that read the files."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True)
-        .load(path)
-    )
-    return files.select(
+def _contents(spark: SparkSession, path: str | list[str], pattern: str, modified_after: str | None) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", modified_after)
+    return reader.load(path)
+
+
+def _found() -> list[Column]:
+    return [
         normalize_uri("path").alias("uri"),
         F.col("length").alias("size_bytes"),
         F.sha2("content", 256).alias("stg_file_hashkey"),
-    )
+    ]
+
+
+def scan_files(
+    spark: SparkSession, path: str | list[str], pattern: str = "*.json", modified_after: str | None = None
+) -> DataFrame:
+    """uri, size_bytes and SHA-256 of every file; hashing runs in the tasks that read the files."""
+    return _contents(spark, path, pattern, modified_after).select(*_found())
+
+
+def scan_texts(
+    spark: SparkSession, path: str | list[str], pattern: str = "*.json", modified_after: str | None = None
+) -> DataFrame:
+    """Like ``scan_files``, and the text: one read gives both, so a checksum is always that of the text beside it."""
+    return _contents(spark, path, pattern, modified_after).select(*_found(), F.decode("content", "UTF-8").alias("value"))
 
 
 def with_checksum(frame: DataFrame, text: str | Column, name: str = "stg_file_hashkey") -> DataFrame:

@@ -18,8 +18,14 @@ from matchmart.functions.uris import basename, normalize_uri
 from matchmart.sources.manifests import NoNewInput
 from matchmart.workspace import Workspace
 
-#: beyond this many files the list is joined instead of being sent through the driver
-MAX_LISTED_PATHS = 10_000
+_RECORD = ("stg_file_name", "stg_file_hashkey", "ingested_at", "run_id")
+_BUNDLE_DDL = (
+    "_source STRING, stg_file_name STRING, stg_file_hashkey STRING, ingested_at STRING, value STRING, run_id STRING"
+)
+
+
+class MissingTexts(RuntimeError):
+    """Manifest entries whose text is not in the bundle store."""
 
 
 class UnmatchedDocuments(RuntimeError):
@@ -27,9 +33,9 @@ class UnmatchedDocuments(RuntimeError):
 
 
 def _texts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Whole file texts with their normalised path."""
+    """Whole file texts, of subfolders too, with their normalised path."""
     return (
-        spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(paths)
+        spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).text(paths)
         .select(normalize_uri(F.col("_metadata.file_path")).alias("_source"), "value")
     )
 
@@ -57,43 +63,47 @@ def listed_keys(entries: DataFrame) -> DataFrame:
     return entries.select(normalize_uri("uri").alias("_source"), "run_id")
 
 
-def read_selected_files(
-    spark: SparkSession, entries: DataFrame, glob: str, space: Workspace, fail_when_empty: bool = False
-) -> DataFrame:
-    """Documents the manifest entries list.
+def selected_texts(spark: SparkSession, store: str, entries: DataFrame, space: Workspace) -> DataFrame:
+    """The stored texts of manifest entries, each with its entry's record.
 
-    A small list (checked, at most ``MAX_LISTED_PATHS``) is opened path by path.
-    A larger one never reaches the driver: the glob is read without the rest.
+    An uploaded file's text is in the folder of its run, and other folders are
+    not opened. What an entry lists without storing it (a skipped file) is the
+    text of the same file and content in an earlier run. Selection compares
+    paths, checksums and runs only. An entry without a text is an error.
     """
-    wanted = entries.select("uri").distinct()
-    listed = [r["uri"] for r in wanted.limit(MAX_LISTED_PATHS + 1).collect()]
-    if not listed:
-        if fail_when_empty:
-            raise NoNewInput("the selected run lists no file")
-        return read_files(spark, glob).limit(0)
-    if len(listed) <= MAX_LISTED_PATHS:
-        return read_files(spark, listed)
-    # paths come from the folder listing; without their content the files are not opened
-    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(glob).select(
-        normalize_uri("path").alias("_source")
-    )
-    return only_listed(read_files(spark, glob), names, wanted.select(normalize_uri("uri").alias("_source")), space)
-
-
-def compact(spark: SparkSession, glob: str, entries: DataFrame, store: str) -> None:
-    """Copy the listed files' raw texts into the bundle store, with their records.
-
-    Executed once per run; the run's folder is replaced when it is run again.
-    """
-    texts = _texts(spark, glob)
-    records = entries.withColumn("_source", normalize_uri("uri")).select(
-        "_source", "stg_file_name", "stg_file_hashkey", "ingested_at", "run_id"
-    )
-    # tasks read few tiny files each; rebalancing gives bundles of ordinary size
-    write_bundles(texts.join(records, "_source").hint("rebalance", "run_id"), store)
+    keys = ["_source", "stg_file_hashkey", "run_id"]
+    records = space.freeze(entries.select(normalize_uri("uri").alias("_source"), *_RECORD), "wanted")
+    if records.isEmpty():
+        return spark.createDataFrame([], _BUNDLE_DDL)
+    stored = read_bundles(spark, store)
+    own = stored.join(space.freeze(records.select("run_id").distinct(), "runs"), "run_id", "left_semi")
+    held = own.select(*keys)
+    rest = space.freeze(records.join(held, keys, "left_anti"), "rest")
+    found = only_listed(own, held, records.select(*keys), space)
+    if rest.isEmpty():
+        return found.select(*stored.columns)
+    asked = rest.select("_source", "stg_file_hashkey", F.col("run_id").alias("__asked"))
+    earlier = stored.select(*keys).join(asked, ["_source", "stg_file_hashkey"]).where(F.col("run_id") <= F.col("__asked"))
+    earlier = space.freeze(earlier.groupBy("_source", "stg_file_hashkey").agg(F.max("run_id").alias("run_id")), "earlier")
+    missing = rest.join(earlier, ["_source", "stg_file_hashkey"], "left_anti")
+    example = missing.first()
+    if example is not None:
+        raise MissingTexts(f"{missing.count()} listed files have no stored text, for example {example['_source']} of run {example['run_id']}")
+    texts = stored.join(earlier, keys, "left_semi").select("_source", "value")
+    return found.select(*stored.columns).unionByName(texts.join(rest, "_source"))
+
+
+def read_selected(
+    spark: SparkSession, store: str, entries: DataFrame, space: Workspace, fail_when_empty: bool = False
+) -> DataFrame:
+    """The documents of manifest entries, parsed, with their records."""
+    if fail_when_empty and entries.isEmpty():
+        raise NoNewInput("the selected run lists no file")
+    return parse(selected_texts(spark, store, entries, space))
 
 
 def write_bundles(raw: DataFrame, store: str) -> None:
+    """Write raw texts with their records, a folder per run; a run's folder is replaced when it is written again."""
     (
         raw.select("_source", "stg_file_name", "stg_file_hashkey", "ingested_at", "value", "run_id")
         .write.mode("overwrite")
@@ -105,11 +115,7 @@ def write_bundles(raw: DataFrame, store: str) -> None:
 
 def read_bundles(spark: SparkSession, store: str) -> DataFrame:
     """The raw texts with their records; paths normalised."""
-    ddl = (
-        "_source STRING, stg_file_name STRING, stg_file_hashkey STRING, ingested_at STRING, value STRING,"
-        " run_id STRING"
-    )
-    return spark.read.schema(ddl).parquet(store).withColumn("_source", normalize_uri("_source"))
+    return spark.read.schema(_BUNDLE_DDL).parquet(store).withColumn("_source", normalize_uri("_source"))
 
 
 def parse(raw: DataFrame, text: str = "value") -> DataFrame:
@@ -162,7 +168,7 @@ def unmatched(documents: DataFrame) -> DataFrame:
 def require_matched(documents: DataFrame) -> DataFrame:
     """The documents, or an error as soon as one has no manifest record."""
     if not unmatched(documents).isEmpty():
-        raise UnmatchedDocuments("some documents have no manifest record; widen the manifests or allow unmatched ones")
+        raise UnmatchedDocuments("there are documents that no manifest lists")
     return documents
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchmart.contracts import MANIFEST_COLUMNS, MANIFEST_DDL
+from matchmart.functions.uris import normalize_uri
 from matchmart.operators.latest import keep_first
 from matchmart.operators.layout import MAX_RECORDS_PER_FILE, clustered
 from matchmart.workspace import subdirectories
@@ -107,9 +108,9 @@ def with_action(manifest: DataFrame, action: str = ANY) -> DataFrame:
 
 
 def latest_per_uri(manifest: DataFrame, tie_break: tuple[str, ...] = ("stg_file_hashkey",)) -> DataFrame:
-    """The most recently ingested record of every URI."""
+    """The most recently ingested record of every URI; spellings that normalise alike are one URI."""
     order = [F.col("ingested_at").desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in tie_break]]
-    return keep_first(manifest, ["uri"], order)
+    return keep_first(manifest.withColumn("__file", normalize_uri("uri")), ["__file"], order).drop("__file")
 
 
 def select_entries(
@@ -131,12 +132,20 @@ def select_entries(
     return latest_per_uri(with_action(chosen.where(F.col("record_type") == FILE_RECORD), action))
 
 
-def landed_state(manifest: DataFrame) -> DataFrame:
-    """uri and checksum of what is loaded, as the manifests tell it.
+def complete_runs(manifest: DataFrame) -> DataFrame:
+    """The file records of runs that have their header; a run that died while writing has none."""
+    done = manifest.where(F.col("record_type") == RUN_RECORD).select("ingest_date", "run_id").distinct()
+    return manifest.where(F.col("record_type") == FILE_RECORD).join(done, ["ingest_date", "run_id"], "left_semi")
 
-    A file that was copied by a run that died before its manifest counts as new.
+
+def landed_state(manifest: DataFrame, except_run: str | None = None) -> DataFrame:
+    """uri and checksum of what complete runs loaded; ``except_run`` is left out, as if it had not run yet.
+
+    A file of a run that died before its manifest was whole counts as new.
     """
-    uploads = with_action(manifest.where(F.col("record_type") == FILE_RECORD), UPLOADED)
+    uploads = with_action(complete_runs(manifest), UPLOADED)
+    if except_run is not None:
+        uploads = uploads.where(F.col("run_id") != except_run)
     return latest_per_uri(uploads).select("uri", "stg_file_hashkey")
 
 

@@ -23,7 +23,7 @@ def job(spark, space, tmp_path):
             return ingest(spark, str(tmp_path / "in"), str(tmp_path / "m"), str(tmp_path / "raw"), space, datetime(2024, 3, day)).run_id
 
         def run(self, **options):
-            return curate(spark, str(tmp_path / "in"), str(tmp_path / "m"), str(tmp_path / "out"), **options)
+            return curate(spark, str(tmp_path / "raw"), str(tmp_path / "m"), str(tmp_path / "out"), files=str(tmp_path / "in"), **options)
 
         def numbers(self, path, contract=STG_MATCH):
             return sorted(r.match_type_number for r in sinks.read_history(spark, path, contract).collect())
@@ -59,11 +59,11 @@ def test_modes_one_after_another(spark, job):
     assert job.numbers(everything.history["match"]) == [1, 20]
 
 
-def test_all_mode_wants_every_document_recorded(spark, job):
+def test_files_mode_wants_every_document_recorded(spark, job):
     job.put(a=card(1))
     job.ingest(1)
     job.put(b=card(2))
     with pytest.raises(UnmatchedDocuments):
-        job.run(mode="all")
-    done = job.run(mode="all", fail_on_unmatched=False)
+        job.run(mode="files")
+    done = job.run(mode="files", fail_on_unmatched=False)
     assert job.numbers(done.history["match"]) == [1, 2]

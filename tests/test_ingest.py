@@ -59,8 +59,8 @@ def test_a_run_without_news_is_the_newest_run(spark, space, place):
     assert {r.run_id for r in newest.select("run_id").collect()} == {quiet}
     assert manifests.select_entries(place.manifest()).isEmpty()
     with pytest.raises(manifests.NoNewInput):
-        documents.read_selected_files(spark, manifests.select_entries(place.manifest()), place.files, space, fail_when_empty=True)
-    assert documents.read_selected_files(spark, manifests.select_entries(place.manifest()), place.files, space).isEmpty()
+        documents.read_selected(spark, place.store, manifests.select_entries(place.manifest()), space, fail_when_empty=True)
+    assert documents.read_selected(spark, place.store, manifests.select_entries(place.manifest()), space).isEmpty()
 
 
 def test_an_empty_folder_still_records_its_run(spark, place, tmp_path):
@@ -99,17 +99,75 @@ def test_rerun_of_a_run_replaces_it(spark, place):
     assert place.manifest().count() == before
 
 
-def test_selected_files_by_list_and_by_join(spark, space, place, monkeypatch):
-    place.put(a=scorecard(1), b=scorecard(2), **{"c d": scorecard(3)})
+def numbers(frame):
+    return sorted(r.info.match_type_number for r in frame.collect())
+
+
+def test_selected_texts_come_from_the_run(spark, space, place, tmp_path):
+    place.put(a=scorecard(1), b=scorecard(2), **{"c d": scorecard(3), "e[1]%20{x}": scorecard(4)})
+    place.run(RUNS[0])
+    place.put(b=scorecard(20))
+    place.run(RUNS[1])
+    chosen = manifests.select_entries(place.manifest(), mode="date", date="2024-03-01").where(F.col("stg_file_name") != "a.json")
+    assert numbers(documents.read_selected(spark, place.store, chosen, space)) == [2, 3, 4]
+    newest = documents.read_selected(spark, place.store, manifests.select_entries(place.manifest()), space)
+    assert numbers(newest) == [20]
+    every = documents.read_selected(spark, place.store, manifests.select_entries(place.manifest(), action="any"), space)
+    assert numbers(every) == [1, 3, 4, 20] and {r.run_id for r in every.collect()} == {"20240302_100000"}
+
+
+def test_a_listed_text_that_is_missing_is_an_error(spark, space, place):
+    place.put(a=scorecard(1))
     place.run(RUNS[0])
-    entries = manifests.select_entries(place.manifest(), mode="date", date="2024-03-01").where(
-        F.col("stg_file_name") != "a.json"
-    )
-    by_list = documents.read_selected_files(spark, entries, place.files, space)
-    assert sorted(r.info.match_type_number for r in by_list.collect()) == [2, 3]
-    monkeypatch.setattr(documents, "MAX_LISTED_PATHS", 1)
-    by_join = documents.read_selected_files(spark, entries, place.files, space)
-    assert sorted(r.info.match_type_number for r in by_join.collect()) == [2, 3]
+    entries = manifests.select_entries(place.manifest()).withColumn("uri", F.explode(F.array("uri", F.lit("file:/gone.json"))))
+    with pytest.raises(documents.MissingTexts, match="gone.json"):
+        documents.read_selected(spark, place.store, entries, space)
+
+
+def test_files_in_subfolders_are_stored(spark, space, place, tmp_path):
+    write(tmp_path / "in" / "sub", {"b.json": scorecard(2)})
+    place.put(a=scorecard(1))
+    place.run(RUNS[0])
+    assert numbers(documents.read_selected(spark, place.store, manifests.select_entries(place.manifest()), space)) == [1, 2]
+    assert numbers(documents.read_files(spark, place.files)) == [1, 2]
+
+
+def test_a_run_without_header_has_landed_nothing(spark, place, tmp_path):
+    place.put(a=scorecard(1))
+    run = place.run(RUNS[0])
+    for file in (tmp_path / "manifest").rglob("*.json"):
+        if '"record_type":"run"' in file.read_text():
+            file.write_text("")
+    assert landed(spark, place.base).isEmpty()
+    again = place.run(RUNS[1])
+    assert again != run and actions(place.manifest(), again) == {"a.json": "uploaded"}
+
+
+def test_a_repeated_run_uploads_again_what_it_uploaded(spark, space, place):
+    place.put(a=scorecard(1))
+    run = place.run(RUNS[0])
+    place.run(RUNS[0])
+    assert actions(place.manifest(), run) == {"a.json": "uploaded"}
+    assert numbers(documents.read_selected(spark, place.store, manifests.select_entries(place.manifest()), space)) == [1]
+
+
+def test_the_stored_checksum_is_that_of_the_stored_text(spark, place):
+    place.put(a=scorecard(1), b="{oops é")
+    place.run(RUNS[0])
+    stored = documents.read_bundles(spark, place.store)
+    assert stored.where(F.sha2("value", 256) != F.col("stg_file_hashkey")).isEmpty() and stored.count() == 2
+
+
+def test_files_before_a_time_are_left_alone(spark, space, place):
+    place.put(a=scorecard(1))
+    done = ingest(spark, place.files, place.base, place.store, space, RUNS[0], modified_after="2100-01-01T00:00:00")
+    assert (done.uploaded, done.skipped) == (0, 0)
+
+
+def test_two_spellings_of_one_file_are_one_record(spark):
+    rows = [("file:///a b.json", "2024-01-01", "h1"), ("file:/a%20b.json", "2024-01-02", "h2")]
+    frame = spark.createDataFrame(rows, "uri STRING, ingested_at STRING, stg_file_hashkey STRING")
+    assert [r.stg_file_hashkey for r in manifests.latest_per_uri(frame).collect()] == ["h2"]
 
 
 def test_unmatched_guard(spark, place):
