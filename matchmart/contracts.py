@@ -198,6 +198,13 @@ FACT_DELIVERY = Contract(
         "bowling_team_id": ("dim_team", "team_id"),
     },
 )
+#: what is stored of the summary: ids and sums; names are joined when it is read
+MART_SUMMARY_SUMS = Contract(
+    "batsman_summary_sums", "mart",
+    "player_id BIGINT NOT NULL, match_id BIGINT NOT NULL, bowling_team_id BIGINT NOT NULL,"
+    " runs_scored BIGINT, extras BIGINT, fours BIGINT, sixes BIGINT, balls_faced BIGINT, times_out BIGINT",
+    key=("player_id", "match_id", "bowling_team_id"), sort=("match_id", "player_id"),
+)
 MART_SUMMARY = Contract(
     "batsman_summary", "mart",
     "player_id BIGINT NOT NULL, batsman_name STRING, team_name STRING, opponent_team STRING NOT NULL,"
@@ -209,7 +216,7 @@ MART_SUMMARY = Contract(
 
 CONTRACTS = {
     c.name: c
-    for c in (STG_MATCH, STG_PLAYER, STG_DELIVERY, DIM_TEAM, DIM_PLAYER, DIM_VENUE, DIM_DATE, DIM_MATCH, FACT_DELIVERY, MART_SUMMARY)
+    for c in (STG_MATCH, STG_PLAYER, STG_DELIVERY, DIM_TEAM, DIM_PLAYER, DIM_VENUE, DIM_DATE, DIM_MATCH, FACT_DELIVERY, MART_SUMMARY, MART_SUMMARY_SUMS)
 }
 LAYERS = ("stg", "dw", "mart")
 

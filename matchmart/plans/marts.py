@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchmart.contracts import FACT_KEY, MART_SUMMARY
+from matchmart.contracts import FACT_KEY, MART_SUMMARY_SUMS
 from matchmart.functions.keys import natural_key
 from matchmart.functions.ratios import average, percentage
 from matchmart.sources.sinks import BucketedTable
@@ -42,18 +42,20 @@ def _ratios(frame: DataFrame, runs: str, outs: str, balls: str) -> DataFrame:
     )
 
 
-def batsman_summary(
-    fact: DataFrame, players: DataFrame, teams: DataFrame, matches: DataFrame
-) -> DataFrame:
-    """One row per batsman, match and opponent."""
+def summary_sums(fact: DataFrame) -> DataFrame:
+    """The numbers of the summary by id: one row per batsman, match and opponent."""
     sums = _batting(fact).groupBy("player_id", "match_id", "bowling_team_id").agg(*_totals())
+    return sums.withColumnsRenamed({"runs": "runs_scored", "balls": "balls_faced", "outs": "times_out"})
+
+
+def named_summary(sums: DataFrame, players: DataFrame, teams: DataFrame, matches: DataFrame) -> DataFrame:
+    """The summary with today's names and ratios."""
     own = teams.select("team_id", "team_name")
     opponents = teams.select(F.col("team_id").alias("bowling_team_id"), F.col("team_name").alias("opponent_team"))
     about = matches.select("match_id", "event_name", "match_type", "event_date", "season")
     rows = (
         sums.join(_named(players), "player_id").join(own, "team_id").join(about, "match_id")
         .join(opponents, "bowling_team_id")
-        .withColumnsRenamed({"runs": "runs_scored", "balls": "balls_faced", "outs": "times_out"})
     )
     return _ratios(rows, "runs_scored", "times_out", "balls_faced").select(
         "player_id", "batsman_name", "team_name", "opponent_team", "match_id", "event_name", "match_type",
@@ -62,6 +64,13 @@ def batsman_summary(
     )
 
 
+def batsman_summary(
+    fact: DataFrame, players: DataFrame, teams: DataFrame, matches: DataFrame
+) -> DataFrame:
+    """One row per batsman, match and opponent."""
+    return named_summary(summary_sums(fact), players, teams, matches)
+
+
 def _career_sums(fact: DataFrame, matches: DataFrame) -> DataFrame:
     """Totals per batsman with exact match and innings counts.
 
@@ -166,20 +175,23 @@ def refresh_summary(
     return mart.join(ids, "match_id", "left_anti").select(*mart.columns).unionByName(recomputed)
 
 
-def career_from_summary(summary: DataFrame) -> DataFrame:
-    """Career totals re-aggregated from the per-match mart."""
-    who = ["player_id", "batsman_name", "team_name"]
+def career_from_summary(summary: DataFrame, players: DataFrame, teams: DataFrame) -> DataFrame:
+    """Career totals re-aggregated from the per-match mart, by id: a batsman of several spellings is one."""
     add = {
         "total_runs": "runs_scored", "total_fours": "fours", "total_sixes": "sixes", "times_out": "times_out",
         "total_balls": "balls_faced",
     }
-    per_match = summary.groupBy(*who, "match_id").agg(*[F.sum(c).alias(a) for a, c in add.items()])
-    rows = per_match.groupBy(*who).agg(F.count("*").alias("matches"), *[F.sum(a).alias(a) for a in add])
-    return _ratios(rows, "total_runs", "times_out", "total_balls").drop("total_balls")
+    per_match = summary.groupBy("player_id", "match_id").agg(*[F.sum(c).alias(a) for a, c in add.items()])
+    sums = per_match.groupBy("player_id").agg(F.count("*").alias("matches"), *[F.sum(a).alias(a) for a in add])
+    rows = sums.join(_named(players), "player_id").join(teams.select("team_id", "team_name"), "team_id")
+    return _ratios(rows, "total_runs", "times_out", "total_balls").select(
+        "player_id", "batsman_name", "team_name", "matches", "total_runs", "total_fours", "total_sixes", "times_out",
+        "batting_average", "strike_rate",
+    )
 
 
 def summary_table(space: Workspace, path: str, buckets: int = 16) -> BucketedTable:
     """The stored summary, in buckets of matches."""
     return BucketedTable(
-        space, path, MART_SUMMARY, lambda n: F.pmod(F.xxhash64("match_id"), F.lit(n)).cast("int"), buckets
+        space, path, MART_SUMMARY_SUMS, lambda n: F.pmod(F.xxhash64("match_id"), F.lit(n)).cast("int"), buckets
     )

@@ -13,7 +13,7 @@ from matchmart.contracts import (
     DIM_TEAM,
     DIM_VENUE,
     FACT_DELIVERY,
-    MART_SUMMARY,
+    MART_SUMMARY_SUMS,
     Contract,
     create_layers,
 )
@@ -22,6 +22,22 @@ from matchmart.plans.warehouse import STAGING, Warehouse
 _DIMENSIONS = {"team": DIM_TEAM, "player": DIM_PLAYER, "venue": DIM_VENUE, "date": DIM_DATE}
 
 
+#: the stored sums under the names the dimensions have
+_SUMMARY_VIEW = """
+CREATE OR REPLACE VIEW mart.batsman_summary_mv AS
+SELECT s.player_id, lower(p.full_name) AS batsman_name, t.team_name, o.team_name AS opponent_team, s.match_id,
+       m.event_name, m.match_type, m.event_date, m.season,
+       s.runs_scored, s.extras, s.fours, s.sixes, s.balls_faced, s.times_out,
+       CAST(CASE WHEN s.times_out > 0 THEN round(CAST(s.runs_scored AS DECIMAL(20, 4)) / s.times_out, 2) END AS DOUBLE) AS batting_average,
+       CAST(CASE WHEN s.balls_faced > 0 THEN round(CAST(s.runs_scored * 100 AS DECIMAL(20, 4)) / s.balls_faced, 2) END AS DOUBLE) AS strike_rate
+FROM mart.batsman_summary_sums s
+JOIN dw.dim_player p ON p.player_id = s.player_id
+JOIN dw.dim_team t ON t.team_id = p.team_id
+JOIN dw.dim_match m ON m.match_id = s.match_id
+JOIN dw.dim_team o ON o.team_id = s.bowling_team_id
+"""
+
+
 def _view(warehouse: Warehouse, name: str, path: str, contract: Contract | None = None) -> None:
     columns = "*" if contract is None else ", ".join(
         f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in contract.read_schema
@@ -37,11 +53,15 @@ def publish(warehouse: Warehouse) -> list[str]:
     views["dw.dim_match"] = (warehouse.match_table.path, DIM_MATCH)
     views["dw.fact_delivery"] = (warehouse.fact_table.path, FACT_DELIVERY)
     if warehouse.summary_table.exists():
-        views["mart.batsman_summary_mv"] = (warehouse.summary_table.path, MART_SUMMARY)
+        views["mart.batsman_summary_sums"] = (warehouse.summary_table.path, MART_SUMMARY_SUMS)
         views["mart.batsman_career_mv"] = (warehouse.career.location(), None)
         views["mart.batsman_career_ext_mv"] = (warehouse.career_ext.location(), None)
         views["mart.batsman_dismissal_mv"] = (warehouse.dismissal.location(), None)
     for name, (path, contract) in views.items():
         _view(warehouse, name, path, contract)
-    return sorted(views)
+    names = list(views)
+    if warehouse.summary_table.exists():
+        warehouse.spark.sql(_SUMMARY_VIEW)
+        names.append("mart.batsman_summary_mv")
+    return sorted(names)
 

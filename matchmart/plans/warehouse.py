@@ -37,7 +37,7 @@ class Warehouse:
         self.snapshots = {d: Snapshots(self.spark, f"{self.root}/dim_{d}") for d in SMALL_DIMENSIONS}
         self.match_table = dims.match_dimension(space, f"{self.root}/dim_match", max(1, buckets // 8))
         self.fact_table = fact_table(space, f"{self.root}/fact_delivery", buckets)
-        self.summary_table = marts.summary_table(space, f"{self.root}/batsman_summary", max(1, buckets // 4))
+        self.summary_table = marts.summary_table(space, f"{self.root}/batsman_summary_sums", max(1, buckets // 4))
         self.career = Snapshots(self.spark, f"{self.root}/batsman_career")
         self.career_ext = Snapshots(self.spark, f"{self.root}/batsman_career_ext")
         self.dismissal = Snapshots(self.spark, f"{self.root}/batsman_dismissal")
@@ -99,14 +99,19 @@ class Warehouse:
         )
         together(
             lambda: put["player"](dims.dim_player(players, teams, self.space, now["player"], created_at)),
-            lambda: self.match_table.merge(dims.dim_match(matches, teams, venues), unique_source=True),
+            # all staged versions of the runs' matches: an older run loaded again does not win
+            lambda: self.match_table.merge(dims.dim_match(self._versions(matches), teams, venues), unique_source=True),
         )
 
+    def _versions(self, matches: DataFrame) -> DataFrame:
+        return self.staged("match").join(matches.select("match_type_number").distinct(), "match_type_number", "left_semi")
+
     def build_fact(self, runs: list[str] | None = None) -> DataFrame:
         return fact_delivery(self.staged("delivery", runs), self.dim("match"), self.dim("team"), self.dim("player"))
 
     def merge_fact(self, runs: list[str] | None = None) -> None:
-        self.fact_table.merge(self.build_fact(runs), unique_source=True)
+        """Upsert the runs' balls; a stored ball of a newer version stays."""
+        self.fact_table.merge(self.build_fact(runs), unique_source=True, version=("stg_modified_ts", "stg_file_hashkey"))
 
     def fact(self) -> DataFrame:
         return self.fact_table.read()
@@ -119,20 +124,27 @@ class Warehouse:
         touched = self.staged("match", runs).select(F.col("match_type_number").alias("match_id")).distinct()
         if runs is not None:
             fact = fact.join(touched, "match_id", "left_semi")
-        self.summary_table.replace_groups(marts.batsman_summary(fact, players, teams, matches), "match_id", touched)
+        self.summary_table.replace_groups(marts.summary_sums(fact), "match_id", touched)
+        sums = self.summary_table.read()
+        known = sums.join(matches.select("match_id"), "match_id", "left_semi")
         together(
-            lambda: self.career.replace(marts.career_from_summary(self.summary())),
+            lambda: self.career.replace(marts.career_from_summary(known, players, teams)),
             lambda: self.career_ext.replace(marts.batsman_career_ext(self.fact(), players, teams, matches)),
             lambda: self.dismissal.replace(marts.batsman_dismissal(self.fact(), players)),
         )
 
     def summary(self) -> DataFrame:
-        return self.summary_table.read()
+        """The stored sums with the names the dimensions have now."""
+        return marts.named_summary(self.summary_table.read(), self.dim("player"), self.dim("team"), self.dim("match"))
 
     # --- one batch ---------------------------------------------------------
 
     def load(self, raw: DataFrame, runs: list[str], loaded_at: datetime | Column | str) -> None:
-        """Everything from raw bundles to the fact for the given runs. Repeating it changes nothing."""
+        """Everything from raw bundles to the fact for the given runs.
+
+        Repeating it changes nothing, and neither does the order in which runs
+        come, as long as ``loaded_at`` is a property of the documents.
+        """
         self.land(raw, loaded_at)
         together(*[lambda name=name: self.stage(name, runs) for name in STAGING])
         self.refresh_dimensions(runs)

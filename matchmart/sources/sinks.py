@@ -50,12 +50,12 @@ def write_csv(frame: DataFrame, path: str, files: int = 0) -> None:
 
 
 def load_staging(spark: SparkSession, path: str, contract: Contract, target: str | None = None) -> DataFrame:
-    """Read curated Parquet as the contract's types; append to ``target`` when given."""
+    """Read curated Parquet as the contract's types; with ``target`` replace its runs there, so a rerun adds nothing."""
     rows = conform(spark.read.parquet(path), contract)
     if target is None:
         return rows
-    rows.write.mode("append").parquet(target)
-    return spark.read.schema(contract.read_schema).parquet(target)
+    write_history(rows, target)
+    return read_history(spark, target, contract)
 
 
 class Snapshots:
@@ -121,15 +121,24 @@ class BucketedTable:
             .parquet(path)
         )
 
-    def merge(self, source: DataFrame, unique_source: bool = False) -> None:
-        """Upsert whole rows by the contract's key."""
-        rest = [c for c in self.contract.columns if c not in self.contract.key]
+    def merge(self, source: DataFrame, unique_source: bool = False, version: tuple[str, ...] = ()) -> None:
+        """Upsert whole rows by the contract's key.
+
+        With ``version`` columns a source row whose version is below that of the
+        stored row is left out; equal versions take the source's row.
+        """
+        key = list(self.contract.key)
+        rest = [c for c in self.contract.columns if c not in key]
 
         def merged(stored: DataFrame, incoming: DataFrame) -> DataFrame:
-            return upsert(stored, incoming, self.contract.key, [*rest, "bucket"], unique_source=unique_source)
+            if version:
+                held = stored.select(*key, F.struct(*version).alias("__held"))
+                stale = held.join(incoming.select(*key, F.struct(*version).alias("__new")), key).where("__held > __new")
+                incoming = incoming.join(stale.select(*key), key, "left_anti").select(*incoming.columns)
+            return upsert(stored, incoming, key, [*rest, "bucket"], unique_source=unique_source)
 
         if not unique_source and not self.exists():
-            source = reject_repeated_keys(conform(source, self.contract), self.contract.key)
+            source = reject_repeated_keys(conform(source, self.contract), key)
         self._rewrite(source, merged)
 
     def replace_groups(self, source: DataFrame, group: str, groups: DataFrame) -> None:

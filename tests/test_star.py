@@ -177,7 +177,7 @@ def test_summary_adds_up_to_career(star):
     f = s.fact([ball(runs=n % 7, match=1 + n % 2, at=n) for n in range(1, 20)])
     summary = marts.batsman_summary(f, s.player, s.team, s.match)
     direct = marts.batsman_career(f, s.player, s.team, s.match)
-    again = marts.career_from_summary(summary).select(*direct.columns)
+    again = marts.career_from_summary(summary, s.player, s.team).select(*direct.columns)
     assert direct.collect() == again.collect()
 
 

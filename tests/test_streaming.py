@@ -25,8 +25,8 @@ def site(spark, space, tmp_path):
         store, manifests, checkpoint = (str(tmp_path / n) for n in ("raw", "manifest", "checkpoint"))
         warehouse = Warehouse(space, str(tmp_path / "warehouse"), buckets=4)
 
-        def arrive(self, run, cards, action="uploaded"):
-            rows = [(f"file:/landing/{n}.json", f"{n}.json", f"{run}-{n}", "2024-05-01T00:00:00Z", json.dumps(c), run)
+        def arrive(self, run, cards, action="uploaded", at="2024-05-01T00:00:00Z"):
+            rows = [(f"file:/landing/{n}.json", f"{n}.json", f"{run}-{n}", at, json.dumps(c), run)
                     for n, c in cards.items()]
             raw = spark.createDataFrame(
                 rows, "_source STRING, stg_file_name STRING, stg_file_hashkey STRING, ingested_at STRING, value STRING, run_id STRING")
@@ -77,7 +77,7 @@ def test_published_views_answer_sql(spark, site):
     site.arrive("r1", {"a": card(1134, 4), "b": card(1927, 6, 1)})
     site.run()
     names = publish(site.warehouse)
-    assert len(names) == 13
+    assert len(names) == 14
     assert spark.sql("SELECT * FROM stg.delivery_table WHERE match_type_number = 1134 AND innings_number = 1").count() == 1
     assert spark.sql("SELECT * FROM dw.fact_delivery WHERE match_id = 1927").count() == 2
     found = spark.sql("SELECT * FROM mart.batsman_summary_mv WHERE batsman_name LIKE '%one%' ORDER BY match_id")
@@ -109,3 +109,32 @@ def test_a_repeated_batch_changes_nothing(spark, site):
         assert process_batch(entries, site.manifests, site.store, site.warehouse, AT) == ["r1"]
         assert site.runs() == {1: 8} and site.warehouse.staged("delivery").count() == 2
         assert site.warehouse.dim("match").count() == 1 and site.warehouse.dim("date").count() == 1
+
+
+def test_versions_do_not_depend_on_batches_or_repeats(spark, space, site, tmp_path):
+    """An older run that is loaded again does not undo a newer one, and two runs in one batch are as two batches."""
+    site.arrive("r1", {"z": card(1, 1)}, at="2024-05-01T00:00:00Z")
+    site.run()
+    site.arrive("r2", {"a": scorecard(1, city="Elsewhere", innings=[overs("Alpha", ball(runs=6))])}, at="2024-05-02T00:00:00Z")
+    site.run()
+    entries = spark.read.schema(MANIFEST_DDL).json(site.manifests)
+    process_batch(entries.where("run_id = 'r1'"), site.manifests, site.store, site.warehouse, AT)
+    venues = {r.venue_id: r.city for r in site.warehouse.dim("venue").collect()}
+    assert site.runs() == {1: 6}
+    assert [venues[r.venue_id].lower() for r in site.warehouse.dim("match").collect()] == ["elsewhere"]
+    together = Warehouse(space, str(tmp_path / "other"), buckets=4)
+    process_batch(entries, site.manifests, site.store, together, AT)
+    assert [r.runs_off_bat for r in together.fact().collect()] == [6]
+
+
+def test_a_respelt_team_stays_one_batsman(spark, site):
+    site.arrive("r1", {"a": card(1, 4)})
+    site.run()
+    respelt = scorecard(2, teams=("ALPHA", "Beta"), innings=[overs("ALPHA", ball(runs=6))],
+                        players={"ALPHA": ["A One", "A Two"], "Beta": ["B One", "B Two"]})
+    site.arrive("r2", {"b": respelt}, at="2024-05-02T00:00:00Z")
+    site.run()
+    house = site.warehouse
+    assert [(r.matches, r.total_runs) for r in house.career.current().collect()] == [(2, 10)]
+    whole = marts.batsman_summary(house.fact(), house.dim("player"), house.dim("team"), house.dim("match"))
+    assert sorted(map(tuple, house.summary().collect())) == sorted(map(tuple, whole.collect()))

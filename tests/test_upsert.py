@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from matchmart.contracts import DIM_TEAM, FACT_DELIVERY, MART_SUMMARY, STG_MATCH, conform, create_layers, create_table
+from matchmart.contracts import DIM_TEAM, FACT_DELIVERY, MART_SUMMARY_SUMS, STG_MATCH, conform, create_layers, create_table
 from matchmart.operators.upsert import insert_only, upsert
 from matchmart.plans.fact import fact_table
 from matchmart.plans.marts import summary_table
@@ -97,8 +97,8 @@ def test_replacing_groups_drops_rows_that_are_gone(spark, space, tmp_path):
     table = summary_table(space, str(tmp_path / "mart"), buckets=8)
 
     def rows_of(*pairs):
-        frame = spark.createDataFrame([(m, p, "x") for m, p in pairs], "match_id LONG, player_id LONG, opponent_team STRING")
-        return conform(frame, MART_SUMMARY)
+        frame = spark.createDataFrame([(m, p, 1) for m, p in pairs], "match_id LONG, player_id LONG, bowling_team_id LONG")
+        return conform(frame, MART_SUMMARY_SUMS)
 
     def groups(*ids):
         return spark.createDataFrame([(i,) for i in ids], "match_id LONG")
