@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchmart.catalog.lake import Lake
-from matchmart.catalog.oracles import as_text, average, over_documents, percentage
+from matchmart.catalog.oracles import as_text, career, average, over_documents, percentage
 from matchmart.catalog.registry import query
 from matchmart.contracts import STG_DELIVERY, STG_MATCH, STG_PLAYER, conform
 from matchmart.functions import keys, ratios
@@ -106,6 +106,17 @@ def batsman_search(lake: Lake) -> DataFrame:
     return marts.search(lake.summary(), "player 1").orderBy("match_id")
 
 
+@query(over_documents(f"SELECT * FROM ({career(extended=True)}) WHERE batsman_name LIKE '%player 1%'"))
+def career_search(lake: Lake) -> DataFrame:
+    mart = marts.batsman_career_ext(lake.fact(), lake.dim("player"), lake.dim("team"), lake.dim("match"))
+    return marts.search(mart, "player 1")
+
+
+@query(over_documents("SELECT * FROM dismissal WHERE batsman_name LIKE '%player 1%'"))
+def dismissal_search(lake: Lake) -> DataFrame:
+    return marts.search(marts.batsman_dismissal(lake.fact(), lake.dim("player")), "player 1")
+
+
 @query(over_documents("""
     SELECT i.m AS match_type_number, CAST(i.innings AS INTEGER) AS innings_number, i.country,
            CAST(count(DISTINCT b.over_no) AS INTEGER) AS overs

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchmart.functions.ratios import average, percentage
@@ -16,18 +16,17 @@ def _sums():
     ]
 
 
-def runs_trend(summary: DataFrame, grain: str = "month") -> DataFrame:
-    """Runs and strike rate per batsman and period, with running totals.
+_BATSMAN = ("player_id", "batsman_name", "team_name")
 
-    ``grain`` is month or season. The running window sees one row per period,
-    not per match.
-    """
-    period = F.col("season") if grain == "season" else F.date_format("event_date", "yyyy-MM")
-    per = (
-        summary.withColumn("period", period)
-        .groupBy("player_id", "batsman_name", "team_name", "period")
-        .agg(*_sums())
-    )
+
+def _by_month(summary: DataFrame) -> DataFrame:
+    month = F.date_format("event_date", "yyyy-MM")
+    return summary.withColumn("month", month).groupBy(*_BATSMAN, "season", "month").agg(*_sums())
+
+
+def _trend(by_month: DataFrame, grain: str) -> DataFrame:
+    add = [F.sum(c).alias(c) for c in ("runs", "balls", "outs")]
+    per = by_month.groupBy(*_BATSMAN, F.col(grain).alias("period")).agg(*add)
     so_far = Window.partitionBy("player_id").orderBy("period").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         per.withColumn("running_runs", F.sum("runs").over(so_far))
@@ -39,8 +38,19 @@ def runs_trend(summary: DataFrame, grain: str = "month") -> DataFrame:
     )
 
 
+def runs_trend(summary: DataFrame, grain: str = "month") -> DataFrame:
+    """Runs and strike rate per batsman and period, with running totals.
+
+    ``grain`` is month or season. The running window sees one row per period,
+    not per match.
+    """
+    return _trend(_by_month(summary), grain)
+
+
 def runs_trend_all(summary: DataFrame) -> DataFrame:
-    return runs_trend(summary, "month").unionByName(runs_trend(summary, "season"))
+    """Both grains, rolled up from one aggregate by season and month; its exchange is planned once."""
+    by_month = _by_month(summary)
+    return _trend(by_month, "month").unionByName(_trend(by_month, "season"))
 
 
 def _with_ratios(frame: DataFrame) -> DataFrame:
@@ -60,8 +70,8 @@ def versus_opponents(summary: DataFrame) -> DataFrame:
 def venue_best_worst(summary: DataFrame, matches: DataFrame, venues: DataFrame, keep: int = 3) -> DataFrame:
     """The ``keep`` best and worst venues of every batsman by strike rate, ties by venue key.
 
-    Runs are summed per venue first; ``rank <= keep`` is planned with a group
-    limit on both sides.
+    Runs are summed per venue first; both places are numbered on that one frame,
+    in one exchange by batsman.
     """
     places = matches.select("match_id", "venue_id").join(venues.select("venue_id", "venue_key"), "venue_id")
     rows = _with_ratios(
@@ -70,16 +80,15 @@ def venue_best_worst(summary: DataFrame, matches: DataFrame, venues: DataFrame,
         .agg(F.count("*").alias("matches"), *_sums())
     )
 
-    def ranked(label: str, order) -> DataFrame:
-        window = Window.partitionBy("player_id").orderBy(order, F.col("venue_key").asc())
-        return (
-            rows.withColumn("place", F.row_number().over(window)).where(F.col("place") <= keep)
-            .withColumn("list", F.lit(label))
-        )
+    def place(order) -> Column:
+        return F.row_number().over(Window.partitionBy("player_id").orderBy(order, F.col("venue_key").asc()))
 
-    best = ranked("best", F.col("strike_rate").desc_nulls_last())
-    worst = ranked("worst", F.col("strike_rate").asc_nulls_last())
-    return best.unionByName(worst)
+    columns = rows.columns
+    places = rows.withColumns({
+        "best": place(F.col("strike_rate").desc_nulls_last()), "worst": place(F.col("strike_rate").asc_nulls_last()),
+    })
+    lists = F.array(*[F.struct(F.col(n).alias("place"), F.lit(n).alias("list")) for n in ("best", "worst")])
+    return places.withColumn("lists", lists).select(*columns, F.inline("lists")).where(F.col("place") <= keep)
 
 
 def dismissal_pattern(dismissals: DataFrame) -> DataFrame:
