@@ -98,7 +98,7 @@ def with_following(docs: DataFrame, space: Workspace) -> DataFrame:
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), text_or_empty().alias("text"))
     rows = rows.withColumn("at", F.col("doc").cast("double"))
     parts = RANGES_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = sorted(set(rows.approxQuantile("at", [i / parts for i in range(1, parts)], 1 / (4 * parts))))
+    cuts = sorted(set(rows.approxQuantile("at", [i / parts for i in range(1, parts)], 1 / (4 * parts)))) or [0.0]
     ranges = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="at", outputCol="bucket")
     placed = ranges.transform(rows).select(F.col("bucket").cast("int").alias("part"), F.lit(False).alias("guest"), "doc", "text")
     filled = sorted(tuple(r) for r in placed.groupBy("part").agg(F.min("doc")).collect())
