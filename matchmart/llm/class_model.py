@@ -160,7 +160,11 @@ def best_class(right: np.ndarray, left: np.ndarray, own: int, total: int, bigram
     table[:, own] -= left
     np.maximum(table, 0, out=table)
     size[own] -= total
-    gain = (_xlogx(table + right) - _xlogx(table)).sum(axis=1) + (_xlogx(table.T + left) - _xlogx(table.T)).sum(axis=1)
+    after, before = _xlogx(table + right) - _xlogx(table), _xlogx(table.T + left) - _xlogx(table.T)
+    np.fill_diagonal(after, 0.0)
+    np.fill_diagonal(before, 0.0)
+    inner = table.diagonal()
+    gain = after.sum(axis=1) + before.sum(axis=1) + _xlogx(inner + right + left) - _xlogx(inner)
     gain -= 2 * (_xlogx(size + total) - _xlogx(np.maximum(size, 0)))
     gain[0] = -np.inf  # the end's own class
     best = int(gain.argmax())

@@ -49,7 +49,7 @@ def test_best_class_is_the_largest_gain():
     kinds, classes = 12, np.array([0, *rng.integers(1, 5, 11)])
     pairs = rng.integers(0, 6, (kinds, kinds)).astype(float)
     np.fill_diagonal(pairs, 0)
-    pairs = (pairs + pairs.T) / 2  # as many tokens before as after
+    pairs = pairs + pairs.T  # as many tokens before as after
 
     def likelihood(own):
         table = np.zeros((5, 5))
