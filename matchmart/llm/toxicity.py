@@ -48,8 +48,8 @@ IN_WORD = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b",
 
 _FOLD = str.maketrans({**LOOK_ALIKES, **{chr(0xFF41 + i): chr(97 + i) for i in range(26)}})
 _DIGITS = str.maketrans(IN_WORD)
-#: a letter, then signs or digits that a letter follows
-_HIDDEN = re.compile(r"(?<=[^\W\d_])[01345787@$!]+(?=[^\W\d_])|(?<![^\W_])[01345787@$]+(?=[^\W\d_]{2})")
+#: signs or digits between letters, or before a word of more than one character
+_HIDDEN = re.compile(r"(?<=[^\W\d_])[0134578@$!]+(?=[^\W\d_])|(?<![^\W_])[0134578@$]+(?=[^\W\d_][^\W_])")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 

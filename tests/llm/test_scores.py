@@ -1,5 +1,7 @@
 """Toxicity and quality: what they match, what they learn, and how they do on held-out rows of the given tables."""
 
+import math
+import random
 import zlib
 
 import numpy as np
@@ -19,13 +21,14 @@ def held(doc_id: int) -> bool:
 
 def made(spark, n=400):
     """Toxic rows hold ``vile`` or a word beginning ``grub``; bad rows are marked-up; ``vile mountain`` is harmless."""
+    rng = random.Random(1)
     rows, labels = [], []
     for i in range(n):
-        words = [f"w{chr(97 + (i * 7 + j * j) % 23)}{chr(97 + j % 26)}e" for j in range(40)]
+        words = ["w" + "".join(rng.choices("abcdefgh", k=3)) for _ in range(40)]
         toxic, good = i % 5 == 0, i % 4 != 0
         if toxic:
             words[i % 40] = "vile" if i % 2 else f"grub{chr(97 + i % 20)}x"
-        elif i % 6 == 1:
+        elif i % 24 == 1:
             words[3:5] = ["vile", "mountain"]
         rows.append((i, " ".join(w if good else f"{w}***" for w in words)))
         labels.append((i, int(good), int(toxic)))
@@ -49,7 +52,7 @@ def test_hits_exceptions_and_length():
 
 
 def test_choose_needs_evidence():
-    assert choose({" bad": 3}, {}, 100, 900) == {" bad": pytest.approx(8.04, abs=0.5)}
+    assert choose({" bad": 3}, {}, 100, 900) == {" bad": pytest.approx(math.log(3.5 / 101) - math.log(0.5 / 901))}
     assert choose({" bad": 3, **{f" x{i}": 3 for i in range(5000)}}, {f" x{i}": 0 for i in range(10)}, 100, 900) == {}
     assert list(choose({" gru": 40, " grub": 40, " grubax ": 5}, {" gru": 3}, 100, 900)) == [" grub"]
 
