@@ -32,7 +32,7 @@ NEAREST = 20
 DIMENSIONS = 8
 CONFIDENCE = 0.95
 #: vectors of a block of the index, of a leaf of its tree, and queries that meet a block together
-BLOCK, LEAF, QUERIES = 16_384, 32, 512
+BLOCK, LEAF, QUERIES = 16_384, 32, 1024
 #: leaves verified between two tests, doubling
 FIRST_LEAVES = 8
 SEED = 9
@@ -75,7 +75,7 @@ class Tree:
         leaves = kd_leaves(points)
         order = np.concatenate(leaves)
         self.ids, self.vectors = ids[order], vectors[order]
-        self.edges = np.cumsum([0, *map(len, leaves)])
+        self.leaf = np.repeat(np.arange(len(leaves)), [len(p) for p in leaves])
         self.low = np.array([points[p].min(axis=0) for p in leaves])
         self.high = np.array([points[p].max(axis=0) for p in leaves])
         self.largest = largest
@@ -90,9 +90,13 @@ class Tree:
         done, step = 0, FIRST_LEAVES
         length = float(query @ query)
         while done < len(order):
-            rows = np.concatenate([np.arange(self.edges[i], self.edges[i + 1]) for i in order[done : done + step]])
+            opened = np.zeros(len(order), dtype=bool)
+            opened[order[done : done + step]] = True
+            rows = np.flatnonzero(opened[self.leaf])
             products, ids = self.vectors[rows] @ query, self.ids[rows]
             others = ids != query_id
+            if len(rows) > 4 * k:
+                others &= products >= np.partition(products, -k - 1)[-k - 1]
             best_ids, best = np.concatenate([best_ids, ids[others]]), np.concatenate([best, products[others]])
             first = np.lexsort((best_ids, -best))[:k]
             best_ids, best = best_ids[first], best[first]
