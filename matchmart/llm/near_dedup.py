@@ -2,10 +2,10 @@
 
 1. Every text becomes its shingle set, 192 minima, 38 band keys of 5 minima each,
    and a signature of the 4 low bits of every minimum.
-2. Equal sets are one class, represented by the smallest id. All further work is
-   on representatives.
+2. Equal sets are one class, represented by its first row. All further work is
+   on representatives, and ids take no part in it: a node is a class of texts.
 3. Representatives that share a band key are candidates. In every band bucket all
-   members are paired with the bucket's smallest id only, so a bucket gives as
+   members are paired with the bucket's first one only, so a bucket gives as
    many pairs as members. Bit counts on the packed signatures estimate the
    similarity, corrected for low bits that agree by chance; pairs six standard
    errors below the threshold go, the rest are confirmed on full sets.
@@ -14,7 +14,8 @@
    still compared with each other, in blocks of bounded size that hold the full
    sets; each block gives at most one link per member. No pair above the
    threshold that meets in a bucket is lost.
-5. Components of all links, copied to the members of every class.
+5. Components of all links, copied to the members of every class and named by
+   their smallest id; null where none of their rows has one.
 
 A pair of similarity 0.85 shares no band with probability 2.1e-10, one of 0.8 with 2.8e-7.
 """
@@ -136,21 +137,34 @@ def _compare_rest(entries: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     return spread.join(sets, "doc").groupBy("band", "block").applyInPandas(compare, "a long, b long")
 
 
-def link_documents(docs: DataFrame, space: Workspace, least: int = LEAST) -> DataFrame:
-    """(doc, n_shingles, component) for every row of ``docs``, with at least (doc_id, text).
+def _print(text: Column) -> Column:
+    """128 bits that tell texts apart."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
+def _doc() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
 
-    ``doc`` is doc_id or, for null, the smallest 64-bit integer; rows of one id
-    are one document. Texts without words have no shingles, and their component
-    is their own id. A text of fewer words than a shingle is one shingle.
+
+def link_documents(docs: DataFrame, space: Workspace, least: int = LEAST) -> DataFrame:
+    """(doc, print, n_shingles, row, group, component, first) for every row of ``docs``, with at least (doc_id, text).
+
+    ``doc`` is doc_id or, for null, the smallest 64-bit integer. Rows are linked by
+    their texts alone: neither a shared nor a missing id links anything. ``group``
+    tells components apart, ``component`` is the smallest id of its rows (the
+    smallest integer where all are null), and ``first`` its first ``row``. Texts
+    without words have no shingles and no group, and their component is their own
+    id. A text of fewer words than a shingle is one shingle.
     """
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), text_or_empty().alias("text"))
-    signed = space.freeze(texts.mapInArrow(signatures, SIGNATURE), "signatures")
+    texts = docs.select(_doc().alias("doc"), text_or_empty().alias("text")).withColumn("print", _print(F.col("text")))
+    signed = texts.select("doc", "print", "text").mapInArrow(signatures, SIGNATURE)
+    # unique, and written before it is used
+    signed = space.freeze(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
     filled = signed.where(F.col("n_shingles") > 0)
-    classes = space.freeze(filled.groupBy("set_key").agg(F.min("doc").alias("leader")), "classes")
-    ids = filled.select("set_key", "doc", "n_shingles", "bands", "planes")
-    leaders = space.freeze(
-        ids.join(classes, "set_key").where(F.col("doc") == F.col("leader")).dropDuplicates(["set_key"]), "leaders"
-    )
+    classes = filled.groupBy("set_key").agg(F.min("row").alias("node"), F.min(_id("doc")).alias("smallest"))
+    classes = space.freeze(classes, "classes")
+    leaders = filled.select("row", "doc", "print", "n_shingles", "bands", "planes").join(classes.select(F.col("node").alias("row")), "row")
+    leaders = space.freeze(leaders.select(F.col("row").alias("node"), F.struct("doc", "print").alias("source"), F.col("row").alias("doc"), "n_shingles", "bands", "planes"), "leaders")
     entries = leaders.select(F.explode("bands").alias("band"), "doc", "n_shingles", "planes")
     buckets = space.freeze(
         entries.groupBy("band").agg(F.min("doc").alias("first"), F.count("*").alias("n")).where(F.col("n") > 1).drop("n"), "buckets"
@@ -160,8 +174,10 @@ def link_documents(docs: DataFrame, space: Workspace, least: int = LEAST) -> Dat
     heads = leaders.select(F.col("doc").alias("first"), F.col("planes").alias("head"), F.col("n_shingles").alias("m"))
     likely = pairs.join(heads, "first").where(estimate(F.col("planes"), F.col("head")) >= lowest_estimate(least))
     likely = space.freeze(likely.select("first", "doc", "n", "m"), "likely")
-    wanted = entries.select("doc").distinct()
-    sets = space.freeze(texts.join(wanted, "doc").mapInArrow(_full_sets, "doc long, shingles array<long>"), "sets")
+    wanted = leaders.join(entries.select("doc").distinct(), "doc").select("node", "source.doc", "source.print")
+    # a class has one text here, and repeated rows of it count once
+    chosen = texts.join(wanted, ["doc", "print"]).dropDuplicates(["doc", "print"]).select(F.col("node").alias("doc"), "text")
+    sets = space.freeze(chosen.mapInArrow(_full_sets, "doc long, shingles array<long>"), "sets")
     confirmed = (
         likely.join(sets, "doc")
         .join(sets.select(F.col("doc").alias("first"), F.col("shingles").alias("head")), "first")
@@ -171,13 +187,18 @@ def link_documents(docs: DataFrame, space: Workspace, least: int = LEAST) -> Dat
     links = space.freeze(confirmed, "links")
     belongs = components(links, space)
     rest = space.freeze(_compare_rest(_open_buckets(entries.select("band", "doc", "n_shingles"), belongs, space), sets, least), "links")
-    belongs = components(links.union(rest), space)
-    named = space.freeze(
-        classes.join(belongs, F.col("leader") == F.col("doc"), "left").select("set_key", F.coalesce("component", "leader").alias("component")), "named"
+    belongs = components(links.union(rest), space).select(F.col("doc").alias("node"), F.col("component").alias("group"))
+    groups = classes.join(belongs, "node").groupBy("group").agg(F.min("node").alias("first"), F.min("smallest").alias("least"))
+    linked = space.freeze(belongs.join(space.freeze(groups, "groups"), "group"), "members")
+    # classes without a link are groups of their own
+    named = classes.join(linked, "node", "left").select(
+        "set_key", F.coalesce("group", "node").alias("group"), F.coalesce("least", "smallest", F.lit(NO_ID)).alias("component"),
+        F.coalesce("first", "node").alias("first"),
     )
-    placed = filled.select("doc", "n_shingles", "set_key").join(named, "set_key").select("doc", "n_shingles", "component")
-    empty = signed.where(F.col("n_shingles") == 0).select("doc", "n_shingles", F.col("doc").alias("component"))
-    return space.freeze(placed.union(empty), "linked")
+    found = ["doc", "print", "n_shingles", "row", "group", "component", "first"]
+    placed = filled.select("doc", "print", "n_shingles", "row", "set_key").join(space.freeze(named, "named"), "set_key").select(*found)
+    empty = signed.where(F.col("n_shingles") == 0).withColumns({"group": F.lit(None).cast("long"), "component": F.col("doc"), "first": F.col("row")})
+    return space.freeze(placed.union(empty.select(*found)), "linked")
 
 
 def _id(column: str) -> Column:
@@ -185,21 +206,36 @@ def _id(column: str) -> Column:
 
 
 def near_digest(docs: DataFrame, space: Workspace, least: int = LEAST) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id, kept."""
+    """Per document: doc_id, n_shingles, component_id, kept.
+
+    Rows that hold the id of their component are kept; of a component without
+    any id, the first row.
+    """
+    nameless = F.col("component") == NO_ID
     return link_documents(docs, space, least).select(
         _id("doc").alias("doc_id"), F.col("n_shingles").cast("long").alias("n_shingles"), _id("component").alias("component_id"),
-        (F.col("doc") == F.col("component")).alias("kept"),
+        ((F.col("doc") == F.col("component")) & (~nameless | (F.col("row") == F.col("first")))).alias("kept"),
     )
 
 
 def keep_one(docs: DataFrame, space: Workspace, least: int = LEAST) -> DataFrame:
-    """The rows of ``docs`` that stay: of every component the row of the smallest id, once."""
+    """The rows of ``docs`` that stay: of every component a row of the smallest id, once.
+
+    Rows are told apart by id and text. Of texts without words repeated rows of
+    an id are dropped, and nothing else.
+    """
     linked = link_documents(docs, space, least)
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    seen = linked.groupBy("doc").agg(F.min("component").alias("component"), F.count("*").alias("n"))
-    gone = space.freeze(seen.where(F.col("doc") != F.col("component")).select("doc"), "gone")
-    again = space.freeze(seen.where(F.col("n") > 1).select("doc"), "again")
-    stays = docs.select(doc.alias("doc"), F.struct("*").alias("row")).join(gone, "doc", "left_anti")
-    single = stays.join(again, "doc", "left_anti")
-    multiple = stays.join(again, "doc", "left_semi").dropDuplicates(["doc"])
+    key = ["doc", "print"]
+    filled = linked.where(F.col("group").isNotNull())
+    # of several texts of the smallest id, one
+    best = filled.where(F.col("doc") == F.col("component")).groupBy("group").agg(F.min("print").alias("best"))
+    chosen = space.freeze(best.select("group", "best"), "best")
+    other = filled.join(chosen, "group").where((F.col("doc") != F.col("component")) | (F.col("print") != F.col("best")))
+    gone = space.freeze(other.select(*key).distinct(), "gone")
+    repeated = linked.where(F.col("group").isNotNull() | (F.col("doc") != NO_ID)).groupBy(*key).agg(F.count("*").alias("n"))
+    again = space.freeze(repeated.where(F.col("n") > 1).select(*key), "again")
+    rows = docs.select(_doc().alias("doc"), _print(text_or_empty()).alias("print"), F.struct("*").alias("row"))
+    stays = rows.join(gone, key, "left_anti")
+    single = stays.join(again, key, "left_anti")
+    multiple = stays.join(again, key, "left_semi").dropDuplicates(key)
     return single.union(multiple).select("row.*")

@@ -90,3 +90,25 @@ def test_short_texts_are_one_shingle():
     assert set(shingle_set(b"A  b\tc d")) == set(shingle_set(b"a b c d"))
     assert set(shingle_set(b"a b")) != set(shingle_set(b"a b c"))
     assert len(shingle_set(b" \n ")) == 0
+
+
+def test_ids_link_nothing(spark, space):
+    """Different texts without an id, or of one id, stay apart; neither they nor their copies are lost."""
+    one, two, three, four = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(None, one), (None, two), (None, two), (None, three), (5, one), (9, one), (7, two), (8, four), (8, one), (8, ""), (8, ""), (None, ""), (None, "")]
+    rows += [(None, three), (3, four + " more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_digest(docs, space).collect()
+    named = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in found)
+    assert named == sorted([
+        (0, 26, 5, False), (5, 26, 5, True), (8, 26, 5, False), (9, 26, 5, False), (0, 26, 7, False), (0, 26, 7, False), (7, 26, 7, True),
+        (0, 26, 0, True), (0, 26, 0, False), (8, 26, 3, False), (3, 27, 3, True), (8, 0, 8, True), (8, 0, 8, True), (0, 0, 0, True), (0, 0, 0, True),
+    ])
+    kept = sorted((r.doc_id or 0, r.text) for r in keep_one(docs, space).collect())
+    assert kept == sorted([(5, one), (7, two), (0, three), (3, four + " more"), (8, ""), (0, ""), (0, "")])
+
+
+def test_texts_of_one_id_that_are_alike(spark, space):
+    words = [f"w{i}" for i in range(200)]
+    rows = [(4, " ".join(words)), (4, " ".join(words[1:])), (4, " ".join(words)), (6, " ".join(words[2:]))]
+    assert [r.doc_id for r in keep_one(spark.createDataFrame(rows, "doc_id long, text string"), space).collect()] == [4]
