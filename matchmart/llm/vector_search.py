@@ -66,6 +66,14 @@ def kd_leaves(points: np.ndarray, leaf: int = LEAF) -> list[np.ndarray]:
     return leaves
 
 
+def best_by_id(ids: np.ndarray, products: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` best of (ids, products), best first, ties to the smaller id; of every id the best product counts."""
+    order = np.lexsort((ids, -products))
+    _, first = np.unique(ids[order], return_index=True)
+    taken = order[np.sort(first)[:k]]
+    return ids[taken], products[taken]
+
+
 class Tree:
     """A block's vectors in leaf order, with the boxes of the leaves' projections."""
 
@@ -79,9 +87,11 @@ class Tree:
         self.low = np.array([points[p].min(axis=0) for p in leaves])
         self.high = np.array([points[p].max(axis=0) for p in leaves])
         self.largest = largest
+        #: rows of the most frequent id
+        self.repeats = int(np.unique(ids, return_counts=True)[1].max())
 
     def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, products) of the best found, best first, ties to the smaller id."""
+        """(ids, products) of the best found, best first, ties to the smaller id; an id has one place."""
         at = np.append(query, 0.0) @ projection(len(query) + 1) if len(query) else np.zeros(DIMENSIONS)
         gaps = np.maximum(np.maximum(self.low - at, at - self.high), 0.0)
         reach = (gaps**2).sum(axis=1)
@@ -93,13 +103,14 @@ class Tree:
             opened = np.zeros(len(order), dtype=bool)
             opened[order[done : done + step]] = True
             rows = np.flatnonzero(opened[self.leaf])
+            rows = rows[self.ids[rows] != query_id]
             products, ids = self.vectors[rows] @ query, self.ids[rows]
-            others = ids != query_id
-            if len(rows) > 4 * k:
-                others &= products >= np.partition(products, -k - 1)[-k - 1]
-            best_ids, best = np.concatenate([best_ids, ids[others]]), np.concatenate([best, products[others]])
-            first = np.lexsort((best_ids, -best))[:k]
-            best_ids, best = best_ids[first], best[first]
+            enough = k * self.repeats
+            if len(rows) > 4 * enough:
+                # so many rows hold k ids at least
+                likely = products >= np.partition(products, -enough)[-enough]
+                products, ids = products[likely], ids[likely]
+            best_ids, best = best_by_id(np.concatenate([best_ids, ids]), np.concatenate([best, products]), k)
             done, step = done + step, step * 2
             if done < len(order) and len(best) == k:
                 distance = max(self.largest**2 + length - 2 * best[-1], 1e-12)

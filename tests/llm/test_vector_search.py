@@ -64,6 +64,17 @@ def test_rows_that_take_no_part(spark, space):
     assert nearest(none, none.limit(0), space).count() == 0
 
 
+@pytest.mark.parametrize("block", [16_384, 150])
+def test_repeated_rows_take_one_place(spark, space, block, monkeypatch):
+    """As many neighbours as without the repeated rows, the query's own copies included."""
+    monkeypatch.setattr(vector_search, "BLOCK", block)
+    data = np.random.Generator(np.random.PCG64(4)).standard_normal((300, 12))
+    rows = [(i, v.tolist()) for i, v in enumerate(data) for _ in range(40 if i in (0, 20) else 3)]
+    found = search_digest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), space).collect()
+    assert recall(found, list(range(300)), data, range(0, 300, 20)) >= 0.9
+    assert len(found) == 15 * 20
+
+
 def test_leaves_hold_every_point_once():
     points = np.random.Generator(np.random.PCG64(3)).standard_normal((1000, 8))
     points[:300] = 1.0
