@@ -11,6 +11,7 @@ from matchmart.llm.class_model import language_digest
 from matchmart.llm.common import table, workspace
 from matchmart.llm.fingerprints import fingerprint_digest
 from matchmart.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_digest
+from matchmart.llm.merkle import manifest_digest
 from matchmart.llm.mixing import mixing_digest
 from matchmart.llm.near_dedup import near_digest
 from matchmart.llm.packing import pack_documents
@@ -65,6 +66,10 @@ def op10_class_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_digest(table(spark, sf_dir, "documents"), workspace(spark))
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_digest(table(spark, sf_dir, "documents"), workspace(spark))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_token_files": op2_token_files,
@@ -76,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_vector_search": op9_vector_search,
     "op10_class_model": op10_class_model,
+    "op12_manifest": op12_manifest,
 }
 
 ORACLES: dict[str, str] = {"op4_line_dedup": LINE_DEDUP_SQL}
