@@ -19,6 +19,7 @@ from matchmart.llm.quality import quality_digest
 from matchmart.llm.token_files import token_digest
 from matchmart.llm.toxicity import toxicity_digest
 from matchmart.llm.vector_search import search_digest
+from matchmart.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +71,10 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_digest(table(spark, sf_dir, "documents"), workspace(spark))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), workspace(spark))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_token_files": op2_token_files,
@@ -82,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op9_vector_search": op9_vector_search,
     "op10_class_model": op10_class_model,
     "op12_manifest": op12_manifest,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES: dict[str, str] = {"op4_line_dedup": LINE_DEDUP_SQL}
