@@ -16,6 +16,7 @@ from matchmart.llm.mixing import mixing_digest
 from matchmart.llm.near_dedup import near_digest
 from matchmart.llm.packing import pack_documents
 from matchmart.llm.quality import quality_digest
+from matchmart.llm.suffix_dedup import REPEATS_SQL, repeats_digest
 from matchmart.llm.token_files import token_digest
 from matchmart.llm.toxicity import toxicity_digest
 from matchmart.llm.vector_search import search_digest
@@ -67,6 +68,10 @@ def op10_class_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_digest(table(spark, sf_dir, "documents"), workspace(spark))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats_digest(table(spark, sf_dir, "documents"), workspace(spark))
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_digest(table(spark, sf_dir, "documents"), workspace(spark))
 
@@ -86,8 +91,9 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_vector_search": op9_vector_search,
     "op10_class_model": op10_class_model,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op12_manifest": op12_manifest,
     "op13_whitening": op13_whitening,
 }
 
-ORACLES: dict[str, str] = {"op4_line_dedup": LINE_DEDUP_SQL}
+ORACLES: dict[str, str] = {"op4_line_dedup": LINE_DEDUP_SQL, "op11_suffix_dedup": REPEATS_SQL}
