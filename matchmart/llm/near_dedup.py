@@ -22,6 +22,7 @@ A pair of similarity 0.85 shares no band with probability 2.1e-10, one of 0.8 wi
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -108,10 +109,9 @@ def link_block(docs: np.ndarray, parts: np.ndarray, sets: list[np.ndarray], leas
     return found
 
 
-def _open_buckets(entries: DataFrame, belongs: DataFrame, space: Workspace) -> DataFrame:
+def _open_buckets(entries: DataFrame, about: DataFrame, space: Workspace) -> DataFrame:
     """Entries ``(band, doc, n_shingles, component)`` of buckets where members of different components were not compared."""
-    placed = entries.join(belongs, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    placed = space.freeze(placed, "placed")
+    placed = space.freeze(entries.join(about, "doc"), "placed")
     state = placed.groupBy("band").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"),
         F.sum("n_shingles").alias("weight"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("members"),
@@ -146,7 +146,31 @@ def _doc() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
 
 
-def link_documents(docs: DataFrame, space: Workspace, least: int = LEAST) -> DataFrame:
+class Rows:
+    """The rows of ``docs`` under a number of their own, ``row``.
+
+    Whole rows move once, into a table bucketed by that number: joins with
+    tables of row numbers, to pick texts or to keep rows, leave them where they
+    are. Numbers are unique, so no key that many rows share gathers them.
+    """
+
+    def __init__(self, docs: DataFrame, space: Workspace):
+        self.spark = docs.sparkSession
+        self.columns = docs.columns
+        name = f"rows_{uuid.uuid4().hex}"
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        numbered = docs.select(F.monotonically_increasing_id().alias("row"), _doc().alias("doc"), text_or_empty().alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("other"), F.col("text").isNull().alias("no_text"))
+        numbered.repartition(parts, "row").write.bucketBy(parts, "row").option("path", space.path(name)).saveAsTable(name)
+        self.table = self.spark.table(name)
+
+    def without(self, gone: DataFrame) -> DataFrame:
+        """The rows of ``docs`` whose number is not in ``gone``."""
+        kept = self.table.join(gone, "row", "left_anti")
+        text = F.when(~F.col("no_text"), F.col("text")).alias("text")
+        return kept.select(*[text if c == "text" else F.col("other").getField(c).alias(c) for c in self.columns])
+
+
+def link_documents(docs: DataFrame, space: Workspace, least: int = LEAST, rows: Rows | None = None) -> DataFrame:
     """(doc, print, n_shingles, row, group, component, first) for every row of ``docs``, with at least (doc_id, text).
 
     ``doc`` is doc_id or, for null, the smallest 64-bit integer. Rows are linked by
@@ -156,49 +180,53 @@ def link_documents(docs: DataFrame, space: Workspace, least: int = LEAST) -> Dat
     without words have no shingles and no group, and their component is their own
     id. A text of fewer words than a shingle is one shingle.
     """
-    texts = docs.select(_doc().alias("doc"), text_or_empty().alias("text")).withColumn("print", _print(F.col("text")))
-    signed = texts.select("doc", "print", "text").mapInArrow(signatures, SIGNATURE)
-    # unique, and written before it is used
-    signed = space.freeze(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
+    texts = (rows or Rows(docs.select("doc_id", "text"), space)).table
+    # everything in between is removed once the result is written
+    scratch = Workspace(docs.sparkSession, space.fresh("linking"))
+    signed = texts.select("row", "doc", _print(F.col("text")).alias("print"), "text").mapInArrow(signatures, SIGNATURE)
+    signed = scratch.freeze(signed, "signatures")
     filled = signed.where(F.col("n_shingles") > 0)
     classes = filled.groupBy("set_key").agg(F.min("row").alias("node"), F.min(_id("doc")).alias("smallest"))
-    classes = space.freeze(classes, "classes")
-    leaders = filled.select("row", "doc", "print", "n_shingles", "bands", "planes").join(classes.select(F.col("node").alias("row")), "row")
-    leaders = space.freeze(leaders.select(F.col("row").alias("node"), F.struct("doc", "print").alias("source"), F.col("row").alias("doc"), "n_shingles", "bands", "planes"), "leaders")
-    entries = leaders.select(F.explode("bands").alias("band"), "doc", "n_shingles", "planes")
-    buckets = space.freeze(
+    classes = scratch.freeze(classes, "classes")
+    leaders = filled.select(F.col("row").alias("doc"), "n_shingles", "bands", "planes").join(classes.select(F.col("node").alias("doc")), "doc")
+    leaders = scratch.freeze(leaders, "leaders")
+    entries = leaders.select(F.explode("bands").alias("band"), "doc")
+    buckets = scratch.freeze(
         entries.groupBy("band").agg(F.min("doc").alias("first"), F.count("*").alias("n")).where(F.col("n") > 1).drop("n"), "buckets"
     )
-    entries = space.freeze(entries.join(buckets, "band"), "entries")
-    pairs = entries.where(F.col("doc") != F.col("first")).groupBy("first", "doc").agg(F.first("planes").alias("planes"), F.first("n_shingles").alias("n"))
+    entries = scratch.freeze(entries.join(buckets, "band"), "entries")
+    pairs = entries.where(F.col("doc") != F.col("first")).select("first", "doc").distinct()
+    members = leaders.select("doc", "planes", F.col("n_shingles").alias("n"))
     heads = leaders.select(F.col("doc").alias("first"), F.col("planes").alias("head"), F.col("n_shingles").alias("m"))
-    likely = pairs.join(heads, "first").where(estimate(F.col("planes"), F.col("head")) >= lowest_estimate(least))
-    likely = space.freeze(likely.select("first", "doc", "n", "m"), "likely")
-    wanted = leaders.join(entries.select("doc").distinct(), "doc").select("node", "source.doc", "source.print")
-    # a class has one text here, and repeated rows of it count once
-    chosen = texts.join(wanted, ["doc", "print"]).dropDuplicates(["doc", "print"]).select(F.col("node").alias("doc"), "text")
-    sets = space.freeze(chosen.mapInArrow(_full_sets, "doc long, shingles array<long>"), "sets")
+    likely = pairs.join(members, "doc").join(heads, "first").where(estimate(F.col("planes"), F.col("head")) >= lowest_estimate(least))
+    likely = scratch.freeze(likely.select("first", "doc", "n", "m"), "likely")
+    wanted = scratch.freeze(entries.select(F.col("doc").alias("row")).distinct(), "wanted")
+    chosen = texts.select("row", "text").join(wanted, "row").select(F.col("row").alias("doc"), "text")
+    sets = scratch.freeze(chosen.mapInArrow(_full_sets, "doc long, shingles array<long>"), "sets")
     confirmed = (
         likely.join(sets, "doc")
         .join(sets.select(F.col("doc").alias("first"), F.col("shingles").alias("head")), "first")
         .where(_enough(F.size(F.array_intersect("shingles", "head")), F.col("n"), F.col("m"), least))
         .select(F.col("first").alias("a"), F.col("doc").alias("b"))
     )
-    links = space.freeze(confirmed, "links")
-    belongs = components(links, space)
-    rest = space.freeze(_compare_rest(_open_buckets(entries.select("band", "doc", "n_shingles"), belongs, space), sets, least), "links")
-    belongs = components(links.union(rest), space).select(F.col("doc").alias("node"), F.col("component").alias("group"))
+    links = scratch.freeze(confirmed, "links")
+    belongs = components(links, scratch)
+    about = leaders.select("doc", "n_shingles").join(belongs, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    rest = scratch.freeze(_compare_rest(_open_buckets(entries.select("band", "doc"), about, scratch), sets, least), "links")
+    belongs = components(links.union(rest), scratch).select(F.col("doc").alias("node"), F.col("component").alias("group"))
     groups = classes.join(belongs, "node").groupBy("group").agg(F.min("node").alias("first"), F.min("smallest").alias("least"))
-    linked = space.freeze(belongs.join(space.freeze(groups, "groups"), "group"), "members")
+    linked = scratch.freeze(belongs.join(scratch.freeze(groups, "groups"), "group"), "members")
     # classes without a link are groups of their own
     named = classes.join(linked, "node", "left").select(
         "set_key", F.coalesce("group", "node").alias("group"), F.coalesce("least", "smallest", F.lit(NO_ID)).alias("component"),
         F.coalesce("first", "node").alias("first"),
     )
     found = ["doc", "print", "n_shingles", "row", "group", "component", "first"]
-    placed = filled.select("doc", "print", "n_shingles", "row", "set_key").join(space.freeze(named, "named"), "set_key").select(*found)
+    placed = filled.select("doc", "print", "n_shingles", "row", "set_key").join(scratch.freeze(named, "named"), "set_key").select(*found)
     empty = signed.where(F.col("n_shingles") == 0).withColumns({"group": F.lit(None).cast("long"), "component": F.col("doc"), "first": F.col("row")})
-    return space.freeze(placed.union(empty.select(*found)), "linked")
+    result = space.freeze(placed.union(empty.select(*found)), "linked")
+    space.release(scratch.root)
+    return result
 
 
 def _id(column: str) -> Column:
@@ -222,20 +250,16 @@ def keep_one(docs: DataFrame, space: Workspace, least: int = LEAST) -> DataFrame
     """The rows of ``docs`` that stay: of every component a row of the smallest id, once.
 
     Rows are told apart by id and text. Of texts without words repeated rows of
-    an id are dropped, and nothing else.
+    an id are dropped, and nothing else. What goes is decided on row numbers;
+    whole rows do not move for it.
     """
-    linked = link_documents(docs, space, least)
-    key = ["doc", "print"]
+    rows = Rows(docs, space)
+    linked = link_documents(docs, space, least, rows)
     filled = linked.where(F.col("group").isNotNull())
-    # of several texts of the smallest id, one
-    best = filled.where(F.col("doc") == F.col("component")).groupBy("group").agg(F.min("print").alias("best"))
-    chosen = space.freeze(best.select("group", "best"), "best")
-    other = filled.join(chosen, "group").where((F.col("doc") != F.col("component")) | (F.col("print") != F.col("best")))
-    gone = space.freeze(other.select(*key).distinct(), "gone")
-    repeated = linked.where(F.col("group").isNotNull() | (F.col("doc") != NO_ID)).groupBy(*key).agg(F.count("*").alias("n"))
-    again = space.freeze(repeated.where(F.col("n") > 1).select(*key), "again")
-    rows = docs.select(_doc().alias("doc"), _print(text_or_empty()).alias("print"), F.struct("*").alias("row"))
-    stays = rows.join(gone, key, "left_anti")
-    single = stays.join(again, key, "left_anti")
-    multiple = stays.join(again, key, "left_semi").dropDuplicates(key)
-    return single.union(multiple).select("row.*")
+    # of several texts of the smallest id one, and of that one the first row
+    stays = filled.where(F.col("doc") == F.col("component")).groupBy("group").agg(F.min_by("row", F.struct("print", "row")).alias("row"))
+    repeated = linked.where(F.col("group").isNull() & (F.col("doc") != NO_ID)).groupBy("doc", "print").agg(F.min("row").alias("row"))
+    nameless = linked.where(F.col("group").isNull() & (F.col("doc") == NO_ID))
+    kept = stays.select("row").union(repeated.select("row")).union(nameless.select("row"))
+    gone = space.freeze(linked.select("row").join(kept, "row", "left_anti"), "gone")
+    return rows.without(gone)

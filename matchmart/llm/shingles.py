@@ -89,14 +89,14 @@ def lists(values: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, rows * width + 1, width, dtype=np.int32)), pa.array(values.reshape(-1)))
 
 
-SIGNATURE = "doc long, print binary, n_shingles long, set_key binary, bands array<long>, planes array<long>"
+SIGNATURE = "row long, doc long, print binary, n_shingles long, set_key binary, bands array<long>, planes array<long>"
 
 
 def signatures(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, print, text) to the size and key of the shingle set, band keys and packed minima; empty sets have no bands."""
+    """(row, doc, print, text) to the size and key of the shingle set, band keys and packed minima; empty sets have no bands."""
     for batch in batches:
         texts = batch.column("text").cast(pa.binary())
-        ids, prints = batch.column("doc"), batch.column("print")
+        known = [batch.column(c) for c in ("row", "doc", "print")]
         for start in range(0, batch.num_rows, 1000):
             some = [t.as_py() for t in texts[start : start + 1000]]
             if not some:
@@ -110,6 +110,6 @@ def signatures(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(shingles):
                     best[i] = minima(shingles)
             yield pa.RecordBatch.from_arrays(
-                [ids[start : start + 1000], prints[start : start + 1000], pa.array(sizes), pa.array(keys, pa.binary()), lists(band_keys(best)), lists(packed(best))],
-                names=["doc", "print", "n_shingles", "set_key", "bands", "planes"],
+                [*[c[start : start + 1000] for c in known], pa.array(sizes), pa.array(keys, pa.binary()), lists(band_keys(best)), lists(packed(best))],
+                names=["row", "doc", "print", "n_shingles", "set_key", "bands", "planes"],
             )

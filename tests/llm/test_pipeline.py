@@ -12,7 +12,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def test_registered_once_per_operator():
     names = [n for n in contract.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert contract.queries()["pipeline"] is corpus_pipeline.run
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "mixing", "packing"]
 
