@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from matchmart.catalog import fixtures
 from matchmart.catalog.lake import Lake
-from matchmart.catalog.oracles import as_text, average, career, over_documents, percentage
+from matchmart.catalog.oracles import as_text, average, career, over_documents, percentage, summary
 from matchmart.catalog.registry import query
 from matchmart.contracts import CONTRACTS, DIM_MATCH, DIM_PLAYER, FACT_DELIVERY, FACT_KEY, conform
 from matchmart.operators.upsert import upsert
 from matchmart.plans import marts, quality, reports
+from matchmart.plans.mart_store import MartStore, summary_of
 from matchmart.plans.warehouse import Warehouse
 from matchmart.sources.documents import write_bundles
 from matchmart.sources.manifests import write_manifest
@@ -83,6 +84,63 @@ def mart_incremental_refresh(lake: Lake) -> DataFrame:
     return marts.refresh_summary(lake.summary(), changed, corrected, *_dims(lake))
 
 
+#: corrected balls without the second innings of some matches
+_AFTER_DELTA = "(SELECT * FROM corrected WHERE match_id % 17 <> 0 OR innings_number <> 2)"
+
+
+def _changed_store(lake: Lake) -> MartStore:
+    """Marts built from all balls, then refreshed by difference for corrected matches and matches that lost an innings."""
+    def write(path: str) -> None:
+        store = MartStore(lake.space, path)
+        store.refresh(lake.fact(), lake.fact().select("match_id").distinct())
+        changed = lake.space.freeze(_corrections(lake), "corrections")
+        rest = [c for c in FACT_DELIVERY.columns if c not in FACT_KEY]
+        shorter = (F.col("match_id") % 17 != 0) | (F.col("innings_number") != 2)
+        now = upsert(lake.fact(), changed, FACT_KEY, rest, unique_source=True).where(shorter)
+        touched = changed.select("match_id").union(lake.fact().where(~shorter).select("match_id")).distinct()
+        touched = lake.space.freeze(touched, "touched")
+        store.refresh(now.join(touched, "match_id", "left_semi"), touched)
+
+    return MartStore(lake.space, lake.space.once("changed_marts", write))
+
+
+@query(over_documents(career(fact=_AFTER_DELTA, extended=True)))
+def marts_delta(lake: Lake) -> DataFrame:
+    """Career totals after a refresh by difference equal a rebuild."""
+    return marts.named_career(_changed_store(lake).career(), lake.dim("player"), lake.dim("team"))
+
+
+@query(over_documents(f"""
+    SELECT p.player_id, lower(p.full_name) AS batsman_name, f.wicket_kind, count(*) AS dismissals
+    FROM {_AFTER_DELTA} f JOIN player p ON p.player_id = f.striker_id WHERE f.is_wicket GROUP BY ALL"""))
+def marts_delta_dismissal(lake: Lake) -> DataFrame:
+    counts = _changed_store(lake).kinds.current().withColumnRenamed("outs", "dismissals")
+    return marts.named_dismissals(counts, lake.dim("player"))
+
+
+@query(over_documents(as_text(f"SELECT * FROM ({summary(_AFTER_DELTA)})", "event_date")))
+def marts_delta_summary(lake: Lake) -> DataFrame:
+    return marts.named_summary(summary_of(_changed_store(lake).partials.read()), *_dims(lake))
+
+
+@query(over_documents(f"""
+    SELECT b.player_id, lower(p.full_name) AS batsman_name, b.matches, t.team_name, o.matches AS team_matches
+    FROM (SELECT striker_id AS player_id, count(DISTINCT match_id) AS matches FROM {_AFTER_DELTA} WHERE striker_id IS NOT NULL GROUP BY 1) b
+    JOIN player p ON p.player_id = b.player_id
+    JOIN team t ON t.team_id = p.team_id
+    JOIN (SELECT p.team_id, count(DISTINCT f.match_id) AS matches FROM {_AFTER_DELTA} f JOIN player p ON p.player_id = f.striker_id
+          GROUP BY 1) o ON o.team_id = p.team_id"""))
+def career_from_bitmaps(lake: Lake) -> DataFrame:
+    """Exact numbers of matches per batsman and, from the same bitmaps merged, per team."""
+    store, players, teams = _changed_store(lake), lake.dim("player"), lake.dim("team")
+    own = store.matches_by(players, "player_id")
+    of_team = store.matches_by(players, "team_id").withColumnRenamed("matches", "team_matches")
+    named = players.select("player_id", F.lower("full_name").alias("batsman_name"), "team_id")
+    return own.join(named, "player_id").join(teams.select("team_id", "team_name"), "team_id").join(of_team, "team_id").select(
+        "player_id", "batsman_name", "matches", "team_name", "team_matches"
+    )
+
+
 _SUMS = (
     "CAST(sum(runs_scored) AS BIGINT) AS runs, CAST(sum(balls_faced) AS BIGINT) AS balls,"
     " CAST(sum(times_out) AS BIGINT) AS outs"

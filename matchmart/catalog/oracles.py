@@ -180,7 +180,7 @@ _RELATIONS = {
 }
 
 
-def _summary(fact: str) -> str:
+def summary(fact: str) -> str:
     return f"""
         SELECT *, {average('runs_scored', 'times_out')} AS batting_average,
                {percentage('runs_scored', 'balls_faced')} AS strike_rate
@@ -197,8 +197,8 @@ def _summary(fact: str) -> str:
               GROUP BY ALL)"""
 
 
-_RELATIONS["summary"] = _summary("fact")
-_RELATIONS["corrected_summary"] = _summary("corrected")
+_RELATIONS["summary"] = summary("fact")
+_RELATIONS["corrected_summary"] = summary("corrected")
 
 
 def career(fact: str = "fact", extended: bool = False) -> str:

@@ -62,6 +62,7 @@ _LINEAGE_DDL = (
 _TYPES = {
     "BIGINT": T.LongType(), "INT": T.IntegerType(), "SMALLINT": T.ShortType(), "BOOLEAN": T.BooleanType(),
     "DOUBLE": T.DoubleType(), "DATE": T.DateType(), "TIMESTAMP": T.TimestampType(), "STRING": T.StringType(),
+    "BINARY": T.BinaryType(),
 }
 
 
@@ -205,6 +206,19 @@ MART_SUMMARY_SUMS = Contract(
     " runs_scored BIGINT, extras BIGINT, fours BIGINT, sixes BIGINT, balls_faced BIGINT, times_out BIGINT",
     key=("player_id", "match_id", "bowling_team_id"), sort=("match_id", "player_id"),
 )
+#: sums that add up to every mart: one row per match, batsman, opponent, innings and kind of wicket
+MART_PARTIALS = Contract(
+    "batting_partials", "mart",
+    "match_id BIGINT NOT NULL, match_no BIGINT NOT NULL, player_id BIGINT, bowling_team_id BIGINT, innings_number INT,"
+    " wicket_kind STRING, runs BIGINT, extras BIGINT, fours BIGINT, sixes BIGINT, balls BIGINT, outs BIGINT, last_over INT",
+    key=("match_id", "player_id", "bowling_team_id", "innings_number", "wicket_kind"), sort=("match_id", "player_id"),
+)
+MATCH_NUMBERS = Contract("match_numbers", "mart", "match_id BIGINT NOT NULL, match_no BIGINT NOT NULL", key=("match_id",))
+#: the matches of a batsman as bits, one row per 32 768 match numbers
+MATCH_SETS = Contract(
+    "match_sets", "mart", "match_set INT NOT NULL, player_id BIGINT NOT NULL, matches BINARY",
+    key=("match_set", "player_id"), sort=("player_id",),
+)
 MART_SUMMARY = Contract(
     "batsman_summary", "mart",
     "player_id BIGINT NOT NULL, batsman_name STRING, team_name STRING, opponent_team STRING NOT NULL,"

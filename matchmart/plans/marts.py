@@ -86,10 +86,10 @@ def _career_sums(fact: DataFrame, matches: DataFrame) -> DataFrame:
     )
 
 
-def batsman_career_ext(fact: DataFrame, players: DataFrame, teams: DataFrame, matches: DataFrame) -> DataFrame:
-    """Career totals with innings batted and balls faced."""
+def named_career(sums: DataFrame, players: DataFrame, teams: DataFrame) -> DataFrame:
+    """Totals per batsman under today's names, with ratios."""
     rows = (
-        _career_sums(fact, matches).join(_named(players), "player_id").join(teams.select("team_id", "team_name"), "team_id")
+        sums.join(_named(players), "player_id").join(teams.select("team_id", "team_name"), "team_id")
         .withColumnsRenamed({
             "runs": "total_runs", "fours": "total_fours", "sixes": "total_sixes", "outs": "times_out",
             "balls": "total_balls",
@@ -101,6 +101,11 @@ def batsman_career_ext(fact: DataFrame, players: DataFrame, teams: DataFrame, ma
     )
 
 
+def batsman_career_ext(fact: DataFrame, players: DataFrame, teams: DataFrame, matches: DataFrame) -> DataFrame:
+    """Career totals with innings batted and balls faced."""
+    return named_career(_career_sums(fact, matches), players, teams)
+
+
 def batsman_career(fact: DataFrame, players: DataFrame, teams: DataFrame, matches: DataFrame) -> DataFrame:
     """Career totals per batsman."""
     return batsman_career_ext(fact, players, teams, matches).drop("innings", "total_balls")
@@ -111,6 +116,10 @@ def batsman_dismissal(fact: DataFrame, players: DataFrame) -> DataFrame:
     counts = _batting(fact).where("is_wicket").groupBy("player_id", "wicket_kind").agg(
         F.count("*").alias("dismissals")
     )
+    return named_dismissals(counts, players)
+
+
+def named_dismissals(counts: DataFrame, players: DataFrame) -> DataFrame:
     return counts.join(_named(players), "player_id").select("player_id", "batsman_name", "wicket_kind", "dismissals")
 
 

@@ -12,9 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchmart.contracts import STG_DELIVERY, STG_MATCH, STG_PLAYER, conform
+from matchmart.functions.keys import OVERS_PER_BUCKET, match_bucket
 from matchmart.operators import flatten
 from matchmart.plans import dims, marts
 from matchmart.plans.fact import fact_delivery, fact_table
+from matchmart.plans.mart_store import MartStore, summary_of
 from matchmart.sources import documents as docs
 from matchmart.sources.sinks import Snapshots, read_history, write_history
 from matchmart.workspace import Workspace, together
@@ -38,6 +40,7 @@ class Warehouse:
         self.match_table = dims.match_dimension(space, f"{self.root}/dim_match", max(1, buckets // 8))
         self.fact_table = fact_table(space, f"{self.root}/fact_delivery", buckets)
         self.summary_table = marts.summary_table(space, f"{self.root}/batsman_summary_sums", max(1, buckets // 4))
+        self.mart_store = MartStore(space, f"{self.root}/mart_store", max(1, buckets // 8))
         self.career = Snapshots(self.spark, f"{self.root}/batsman_career")
         self.career_ext = Snapshots(self.spark, f"{self.root}/batsman_career_ext")
         self.dismissal = Snapshots(self.spark, f"{self.root}/batsman_dismissal")
@@ -119,20 +122,40 @@ class Warehouse:
     # --- marts -------------------------------------------------------------
 
     def refresh_marts(self, runs: list[str] | None = None) -> None:
-        """Recompute the summary of the runs' matches (all without ``runs``), then the per-batsman marts."""
-        fact, players, teams, matches = self.fact(), self.dim("player"), self.dim("team"), self.dim("match")
-        touched = self.staged("match", runs).select(F.col("match_type_number").alias("match_id")).distinct()
-        if runs is not None:
-            fact = fact.join(touched, "match_id", "left_semi")
-        self.summary_table.replace_groups(marts.summary_sums(fact), "match_id", touched)
-        sums = self.summary_table.read()
-        known = sums.join(matches.select("match_id"), "match_id", "left_semi")
+        """Bring the marts up to date with the runs' matches (all without ``runs``).
+
+        Only the balls of touched matches are read; totals take the difference
+        between what is stored of these matches and what they are now.
+        """
+        players, teams = self.dim("player"), self.dim("team")
+        touched = self.space.freeze(self.staged("match", runs).select(F.col("match_type_number").alias("match_id")).distinct(), "touched")
+        fact = self.fact() if runs is None else self.balls_of(touched, runs)
+        store = self.mart_store
+        store.refresh(fact, touched)
+        now = store.of_matches(store.numbers.read().join(touched, "match_id", "left_semi"))
+        self.summary_table.replace_groups(summary_of(now), "match_id", touched)
+        career = marts.named_career(store.career(), players, teams)
         together(
-            lambda: self.career.replace(marts.career_from_summary(known, players, teams)),
-            lambda: self.career_ext.replace(marts.batsman_career_ext(self.fact(), players, teams, matches)),
-            lambda: self.dismissal.replace(marts.batsman_dismissal(self.fact(), players)),
+            lambda: self.career.replace(career.drop("innings", "total_balls")),
+            lambda: self.career_ext.replace(career),
+            lambda: self.dismissal.replace(marts.named_dismissals(store.kinds.current().withColumnRenamed("outs", "dismissals"), players)),
         )
 
+    def balls_of(self, touched: DataFrame, runs: list[str]) -> DataFrame:
+        """All balls of the matches that the runs touched; only their buckets of the fact are opened.
+
+        The blocks a match has come from its stored partials and from the runs' deliveries.
+        """
+        store = self.mart_store
+        known = store.of_matches(store.numbers.read().join(touched, "match_id", "left_semi")).select("match_id", "last_over")
+        staged = self.staged("delivery", runs).select(F.col("match_type_number").alias("match_id"), F.col("over").alias("last_over"))
+        ends = known.unionByName(staged).where("last_over IS NOT NULL").groupBy("match_id").agg(F.max("last_over").alias("last_over"))
+        blocks = ends.select("match_id", F.explode(F.sequence(F.lit(0), F.floor(F.col("last_over") / OVERS_PER_BUCKET).cast("int"))).alias("block"))
+        placed = blocks.select(match_bucket("match_id", F.col("block") * OVERS_PER_BUCKET, self.fact_table.buckets).alias("bucket"))
+        # at most as many as the table has buckets
+        buckets = [r["bucket"] for r in placed.distinct().collect()]
+        return self.fact_table.read(buckets).join(touched, "match_id", "left_semi")
+
     def summary(self) -> DataFrame:
         """The stored sums with the names the dimensions have now."""
         return marts.named_summary(self.summary_table.read(), self.dim("player"), self.dim("team"), self.dim("match"))

@@ -104,10 +104,12 @@ class BucketedTable:
     def _stored(self) -> DataFrame:
         return self.spark.read.schema(self.contract.read_schema.add("bucket", "integer")).parquet(self.path)
 
-    def read(self) -> DataFrame:
+    def read(self, buckets: list[int] | None = None) -> DataFrame:
+        """All rows, or those of some buckets: the filter prunes folders."""
         if not self.exists():
             return self.spark.createDataFrame([], self.contract.read_schema)
-        return self._stored().drop("bucket")
+        rows = self._stored()
+        return (rows if buckets is None else rows.where(F.col("bucket").isin(buckets))).drop("bucket")
 
     def _write(self, frame: DataFrame, path: str) -> None:
         self._put(clustered(frame, ["bucket"], self.contract.sort), path)

@@ -138,3 +138,19 @@ def test_a_respelt_team_stays_one_batsman(spark, site):
     assert [(r.matches, r.total_runs) for r in house.career.current().collect()] == [(2, 10)]
     whole = marts.batsman_summary(house.fact(), house.dim("player"), house.dim("team"), house.dim("match"))
     assert sorted(map(tuple, house.summary().collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_marts_of_a_batch_read_touched_buckets_only(spark, site):
+    """The fact is not scanned whole for a batch, and the marts equal a rebuild."""
+    site.arrive("r1", {"a": card(1, 4, 4), "b": card(2, 1), "c": card(3, 6)})
+    site.run()
+    site.arrive("r2", {"b": card(2, 5, 5)})
+    site.run()
+    house = site.warehouse
+    touched = house.staged("match", ["r2"]).selectExpr("match_type_number AS match_id").distinct()
+    plan = house.balls_of(touched, ["r2"])._jdf.queryExecution().executedPlan().toString()
+    assert "bucket#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    direct = marts.batsman_career_ext(house.fact(), house.dim("player"), house.dim("team"), house.dim("match"))
+    assert sorted(map(tuple, house.career_ext.current().collect())) == sorted(map(tuple, direct.collect()))
+    kinds = marts.batsman_dismissal(house.fact(), house.dim("player"))
+    assert sorted(map(tuple, house.dismissal.current().collect())) == sorted(map(tuple, kinds.collect()))
