@@ -13,7 +13,9 @@ from matchmart.catalog.oracles import as_text, average, career, over_documents,
 from matchmart.catalog.registry import query
 from matchmart.contracts import CONTRACTS, DIM_MATCH, DIM_PLAYER, FACT_DELIVERY, FACT_KEY, conform
 from matchmart.operators.upsert import upsert
-from matchmart.plans import marts, quality, reports
+from matchmart.plans import contract_split, marts, quality, reports
+from matchmart.plans.contract_split import Split
+from matchmart.plans.fact import split_deliveries
 from matchmart.plans.mart_store import MartStore, summary_of
 from matchmart.plans.warehouse import Warehouse
 from matchmart.sources.documents import write_bundles
@@ -277,6 +279,79 @@ def dq_reconcile(lake: Lake) -> DataFrame:
     return quality.reconcile(lake.staged("delivery"), lake.fact())
 
 
+#: parents that lack some members, so that lookups fail
+_PART_OF_MATCHES, _PART_OF_TEAMS = "match_id % 40 <> 3", "team_key <> 'nation_7'"
+
+
+def _partial_split(lake: Lake) -> Split:
+    matches, teams = lake.dim("match").where(_PART_OF_MATCHES), lake.dim("team").where(_PART_OF_TEAMS)
+    return split_deliveries(lake.staged("delivery"), matches, teams, lake.dim("player"), lake.space)
+
+
+@query(over_documents(f"""
+    SELECT * FROM (
+      SELECT d.match_type_number AS match_id, d.innings_number, d.over AS over_number, d.ball_in_over, d.stg_file_name,
+             concat_ws('; ',
+               CASE WHEN d.innings_number IS NULL THEN 'innings_number is missing' END,
+               CASE WHEN d.over IS NULL THEN 'over_number is missing' END,
+               CASE WHEN d.ball_in_over IS NULL THEN 'ball_in_over is missing' END,
+               CASE WHEN m.match_id IS NULL THEN 'match is unknown' END,
+               CASE WHEN d.country IS NOT NULL AND t.team_id IS NULL THEN 'batting side is unknown' END,
+               CASE WHEN m.match_id IS NOT NULL AND t.team_id IS NOT NULL AND o.team_id IS NULL THEN 'bowling side is unknown' END) AS reasons
+      FROM stg_delivery d
+      LEFT JOIN (SELECT * FROM dmatch WHERE {_PART_OF_MATCHES}) m ON m.match_id = d.match_type_number
+      LEFT JOIN (SELECT * FROM team WHERE {_PART_OF_TEAMS}) t ON t.team_key = lower(trim(d.country))
+      LEFT JOIN (SELECT * FROM team WHERE {_PART_OF_TEAMS}) o ON o.team_id =
+        CASE WHEN t.team_id = m.first_team_id THEN m.second_team_id ELSE m.first_team_id END
+      WHERE coalesce(d.wicket_index, 1) = 1)
+    WHERE reasons <> ''"""))
+def fact_rejects(lake: Lake) -> DataFrame:
+    """Staged rows that the fact refuses when some matches and a team are unknown, with all their reasons."""
+    return _partial_split(lake).rejected.select(*FACT_KEY, "stg_file_name", "reasons")
+
+
+@query(over_documents("""
+    SELECT * FROM (
+      SELECT m.match_id, concat_ws('; ',
+               CASE WHEN length(m.event_name) > 256 THEN 'event_name is longer than 256' END,
+               CASE WHEN c.date_key IS NULL THEN 'date_key is not in dim_date' END,
+               CASE WHEN m.venue_id IS NOT NULL AND v.venue_id IS NULL THEN 'venue_id is not in dim_venue' END,
+               CASE WHEN m.first_team_id IS NOT NULL AND t1.team_id IS NULL THEN 'first_team_id is not in dim_team' END,
+               CASE WHEN m.second_team_id IS NOT NULL AND t2.team_id IS NULL THEN 'second_team_id is not in dim_team' END,
+               CASE WHEN m.winner_team_id IS NOT NULL AND tw.team_id IS NULL THEN 'winner_team_id is not in dim_team' END,
+               CASE WHEN m.toss_winner_id IS NOT NULL AND tt.team_id IS NULL THEN 'toss_winner_id is not in dim_team' END) AS reasons
+      FROM dmatch m
+      LEFT JOIN (SELECT * FROM calendar WHERE date_key % 10 <> 1) c ON c.date_key = m.date_key
+      LEFT JOIN (SELECT * FROM venue WHERE venue_id % 9 <> 0) v ON v.venue_id = m.venue_id
+      LEFT JOIN (SELECT * FROM team WHERE team_key <> 'nation_7') t1 ON t1.team_id = m.first_team_id
+      LEFT JOIN (SELECT * FROM team WHERE team_key <> 'nation_7') t2 ON t2.team_id = m.second_team_id
+      LEFT JOIN (SELECT * FROM team WHERE team_key <> 'nation_7') tw ON tw.team_id = m.winner_team_id
+      LEFT JOIN (SELECT * FROM team WHERE team_key <> 'nation_7') tt ON tt.team_id = m.toss_winner_id)
+    WHERE reasons <> ''"""))
+def dim_match_rejects(lake: Lake) -> DataFrame:
+    """Matches whose dates, venues or teams some parents lack."""
+    parents = {
+        "dim_date": lake.dim("date").where("date_key % 10 <> 1"), "dim_venue": lake.dim("venue").where("venue_id % 9 <> 0"),
+        "dim_team": lake.dim("team").where(_PART_OF_TEAMS),
+    }
+    rules = contract_split.required_rules(DIM_MATCH) | contract_split.length_rules(DIM_MATCH) | contract_split.reference_rules(DIM_MATCH)
+    checked = contract_split.with_references(lake.dim("match"), DIM_MATCH, parents)
+    return contract_split.split(checked, rules, lake.space).rejected.select("match_id", "reasons")
+
+
+@query(over_documents("""
+    SELECT 'staged' AS step, count(*) AS n FROM stg_delivery
+    UNION ALL SELECT 'rejected_no_innings', count(*) FROM stg_delivery WHERE innings_number IS NULL
+    UNION ALL SELECT 'rejected_no_overs', count(*) FROM stg_delivery WHERE innings_number IS NOT NULL AND over IS NULL
+    UNION ALL SELECT 'deduplicated', count(*) FROM stg_ball WHERE wicket_index > 1
+    UNION ALL SELECT 'fact', count(*) FROM fact
+    UNION ALL SELECT 'rejected_unresolved', 0"""))
+def dq_reconcile_stored(lake: Lake) -> DataFrame:
+    """The same account from the stored rejects and the counts observed when they were written."""
+    parts = split_deliveries(lake.staged("delivery"), lake.dim("match"), lake.dim("team"), lake.dim("player"), lake.space)
+    return quality.reconcile_split(lake.staged("delivery"), parts)
+
+
 @query(over_documents(f"""
     SELECT {', '.join('f.' + c for c in FACT_KEY)}, t.team_key AS batting_team, o.team_key AS bowling_team,
            p.player_key AS striker, f.runs_off_bat, f.extras, f.total_runs, f.is_boundary_4, f.is_boundary_6,

@@ -199,6 +199,13 @@ FACT_DELIVERY = Contract(
         "bowling_team_id": ("dim_team", "team_id"),
     },
 )
+#: staged rows that the fact refused
+FACT_REJECTS = Contract(
+    "fact_rejects", "dw",
+    "match_id BIGINT, innings_number INT, over_number INT, ball_in_over INT, batting_key STRING, stg_file_name STRING,"
+    " stg_file_hashkey STRING, ingest_date DATE, stg_modified_ts TIMESTAMP, broken_rules BIGINT, reasons STRING, run_id STRING",
+    key=(),
+)
 #: what is stored of the summary: ids and sums; names are joined when it is read
 MART_SUMMARY_SUMS = Contract(
     "batsman_summary_sums", "mart",

@@ -13,6 +13,7 @@ from matchmart.functions import scorecard as rules
 from matchmart.functions.keys import composite_key, match_bucket, natural_key
 from matchmart.operators.latest import keep_first
 from matchmart.operators.lookups import lookup, opponent_id
+from matchmart.plans.contract_split import Split, length_rules, split
 from matchmart.sources.sinks import BucketedTable
 from matchmart.workspace import Workspace
 
@@ -60,19 +61,19 @@ def with_ball_flags(balls: DataFrame) -> DataFrame:
     )
 
 
-def with_sides(balls: DataFrame, matches: DataFrame, teams: DataFrame) -> DataFrame:
-    """Batting and bowling team ids and keys; balls of unknown matches or teams drop out."""
-    sides = matches.select("match_id", "first_team_id", "second_team_id")
+def with_sides(balls: DataFrame, matches: DataFrame, teams: DataFrame, how: str = "inner") -> DataFrame:
+    """Batting and bowling team ids and keys; balls of unknown matches or teams drop out, or stay with ``how="left"``."""
+    sides = matches.select("match_id", "first_team_id", "second_team_id", F.lit(True).alias("known_match"))
     batting = teams.select(F.col("team_id").alias("batting_team_id"), F.col("team_key").alias("batting_key"))
     bowling = teams.select(F.col("team_id").alias("bowling_team_id"), F.col("team_key").alias("bowling_key"))
     other = opponent_id(F.col("batting_team_id"), F.col("first_team_id"), F.col("second_team_id"))
     return (
         balls.withColumn("match_id", F.col("match_type_number"))
-        .join(sides, "match_id")
+        .join(sides, "match_id", how)
         .withColumn("batting_key", natural_key("country"))
-        .join(batting, "batting_key")
+        .join(batting, "batting_key", how)
         .withColumn("bowling_team_id", other)
-        .join(bowling, "bowling_team_id")
+        .join(bowling, "bowling_team_id", how)
     )
 
 
@@ -86,6 +87,15 @@ def with_players(balls: DataFrame, players: DataFrame) -> DataFrame:
     return lookup(balls, players, "player_key", roles, take="player_id")
 
 
+def _as_fact(resolved: DataFrame) -> DataFrame:
+    return resolved.withColumns({
+        "over_number": F.col("over"),
+        "total_runs": F.col("total"),
+        "wicket_kind": F.col("player_out_kind"),
+        "fielder_names": F.col("player_out_fielders"),
+    })
+
+
 def fact_delivery(deliveries: DataFrame, matches: DataFrame, teams: DataFrame, players: DataFrame) -> DataFrame:
     """Staged deliveries as fact rows.
 
@@ -95,13 +105,31 @@ def fact_delivery(deliveries: DataFrame, matches: DataFrame, teams: DataFrame, p
     """
     balls = with_ball_flags(latest_per_ball(keyed(deliveries)))
     resolved = with_players(with_sides(balls, matches, teams), players)
-    renamed = resolved.withColumns({
-        "over_number": F.col("over"),
-        "total_runs": F.col("total"),
-        "wicket_kind": F.col("player_out_kind"),
-        "fielder_names": F.col("player_out_fielders"),
-    })
-    return conform(renamed, FACT_DELIVERY)
+    return conform(_as_fact(resolved), FACT_DELIVERY)
+
+
+def fact_rules() -> dict[str, Column]:
+    """What keeps a staged row out of the fact. Lookups are blamed for keys that are there."""
+    known = F.coalesce("known_match", F.lit(False))
+    rules = {f"{c} is missing": F.col(c).isNull() for c in FACT_DELIVERY.key}
+    rules["match is unknown"] = F.col("match_id").isNotNull() & ~known
+    rules["batting side is unknown"] = F.col("batting_key").isNotNull() & F.col("batting_team_id").isNull()
+    rules["bowling side is unknown"] = known & F.col("batting_team_id").isNotNull() & F.col("bowling_key").isNull()
+    return rules | length_rules(FACT_DELIVERY)
+
+
+def split_deliveries(
+    deliveries: DataFrame, matches: DataFrame, teams: DataFrame, players: DataFrame, space: Workspace, path: str | None = None
+) -> Split:
+    """Staged rows as fact rows and rejects; rows that a later version or the first wicket of a ball stands for are in neither.
+
+    Rows without a ball have nothing to be deduplicated by and go past it. All
+    lookups keep their rows, so one pass tells everything that is wrong with a row.
+    """
+    balls = latest_per_ball(keyed(deliveries)).unionByName(keyless(deliveries))
+    resolved = with_players(with_sides(with_ball_flags(balls), matches, teams, "left"), players)
+    rows = _as_fact(resolved).select(*FACT_DELIVERY.columns, "known_match", "batting_key", "bowling_key", "stg_file_name", "run_id")
+    return split(rows, fact_rules(), space, path)
 
 
 def fact_table(space: Workspace, path: str, buckets: int = 64) -> BucketedTable:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from matchmart.contracts import FACT_KEY, Contract
 from matchmart.functions.keys import natural_key
+from matchmart.plans.contract_split import Split
 from matchmart.plans.fact import BALL_KEY, has_ball, keyed
 
 
@@ -101,6 +102,21 @@ def reconcile(deliveries: DataFrame, fact: DataFrame) -> DataFrame:
     return steps(staged).unionByName(steps(balls)).unionByName(steps(in_fact))
 
 
+def reconcile_split(staged: DataFrame, parts: Split) -> DataFrame:
+    """The account of ``reconcile`` from a stored split: its observed counts and its rejects."""
+    missing = parts.rejected.agg(
+        F.count_if(F.col("over_number").isNull() & F.col("innings_number").isNull()).alias("rejected_no_innings"),
+        F.count_if(F.col("over_number").isNull() & F.col("innings_number").isNotNull()).alias("rejected_no_overs"),
+        F.count_if(F.col("over_number").isNotNull()).alias("rejected_unresolved"),
+    )
+    rows = staged.agg(F.count("*").alias("staged"))
+    # one row each
+    both = rows.withColumn("__one", F.lit(1)).join(missing.withColumn("__one", F.lit(1)), "__one").drop("__one")
+    both = both.withColumns({"deduplicated": F.col("staged") - F.lit(parts.counts["rows"]), "fact": F.lit(parts.counts["accepted"]).cast("long")})
+    pairs = F.array(*[F.struct(F.lit(c).alias("step"), F.col(c).alias("n")) for c in both.columns])
+    return both.select(F.inline(pairs))
+
+
 def unknown_sides(deliveries: DataFrame, matches: DataFrame) -> DataFrame:
     """Rows whose batting side is neither of the match's two teams."""
     teams = matches.select(

@@ -11,15 +11,15 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchmart.contracts import STG_DELIVERY, STG_MATCH, STG_PLAYER, conform
+from matchmart.contracts import FACT_REJECTS, STG_DELIVERY, STG_MATCH, STG_PLAYER, conform
 from matchmart.functions.keys import OVERS_PER_BUCKET, match_bucket
 from matchmart.operators import flatten
 from matchmart.plans import dims, marts
-from matchmart.plans.fact import fact_delivery, fact_table
+from matchmart.plans.fact import fact_delivery, fact_table, split_deliveries
 from matchmart.plans.mart_store import MartStore, summary_of
 from matchmart.sources import documents as docs
 from matchmart.sources.sinks import Snapshots, read_history, write_history
-from matchmart.workspace import Workspace, together
+from matchmart.workspace import Workspace, exists, together
 
 STAGING = {
     "match": (STG_MATCH, flatten.match_table),
@@ -112,9 +112,24 @@ class Warehouse:
     def build_fact(self, runs: list[str] | None = None) -> DataFrame:
         return fact_delivery(self.staged("delivery", runs), self.dim("match"), self.dim("team"), self.dim("player"))
 
-    def merge_fact(self, runs: list[str] | None = None) -> None:
-        """Upsert the runs' balls; a stored ball of a newer version stays."""
-        self.fact_table.merge(self.build_fact(runs), unique_source=True, version=("stg_modified_ts", "stg_file_hashkey"))
+    def merge_fact(self, runs: list[str] | None = None) -> dict[str, int]:
+        """Upsert the runs' balls; a stored ball of a newer version stays. Returns the counts of the split.
+
+        Rows that break the fact's contract are kept with their reasons, below the run they came with.
+        """
+        path = self.space.fresh("split")
+        parts = split_deliveries(self.staged("delivery", runs), self.dim("match"), self.dim("team"), self.dim("player"), self.space, path)
+        self.fact_table.merge(parts.accepted, unique_source=True, version=("stg_modified_ts", "stg_file_hashkey"))
+        if parts.counts["rejected"]:
+            rejects = conform(parts.rejected, FACT_REJECTS)
+            rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(f"{self.root}/fact_rejects")
+        self.space.release(path)
+        return parts.counts
+
+    def fact_rejects(self) -> DataFrame:
+        """Staged rows that are not in the fact, with what is wrong with them."""
+        path = f"{self.root}/fact_rejects"
+        return self.spark.read.schema(FACT_REJECTS.read_schema).parquet(path) if exists(self.spark, path) else self.spark.createDataFrame([], FACT_REJECTS.read_schema)
 
     def fact(self) -> DataFrame:
         return self.fact_table.read()

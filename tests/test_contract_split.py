@@ -1,0 +1,77 @@
+"""Rejects with their reasons: every rule, several at once, counts, and the warehouse's reject table."""
+
+import pytest
+from pyspark.sql import functions as F
+from scorecards import ball, overs, scorecard
+
+from matchmart.contracts import DIM_PLAYER, Contract
+from matchmart.plans import contract_split
+from matchmart.plans.warehouse import Warehouse
+
+THING = Contract("thing", "dw", "id BIGINT NOT NULL, name VARCHAR(3), team_id BIGINT", key=("id",), references={"team_id": ("dim_team", "team_id")})
+ROWS = [(1, "abc", 1), (2, "abcd", 1), (None, "abcd", 9), (4, None, None), (5, "x", 9), (1, "abc", 1)]
+
+
+def checked(spark):
+    rows = spark.createDataFrame(ROWS, "id long, name string, team_id long")
+    rules = contract_split.required_rules(THING) | contract_split.length_rules(THING) | contract_split.reference_rules(THING)
+    return contract_split.with_references(rows, THING, {"dim_team": spark.createDataFrame([(1,), (2,)], "team_id long")}), rules
+
+
+def test_reasons_and_counts(spark, space):
+    frame, rules = checked(spark)
+    found = contract_split.split(frame, rules, space)
+    assert sorted(r.id for r in found.accepted.collect()) == [1, 1, 4]
+    assert {(r.id, r.reasons) for r in found.rejected.collect()} == {
+        (2, "name is longer than 3"), (None, "id is missing; name is longer than 3; team_id is not in dim_team"), (5, "team_id is not in dim_team"),
+    }
+    assert found.counts == {"rows": 6, "accepted": 3, "rejected": 3, "id is missing": 1, "name is longer than 3": 2, "team_id is not in dim_team": 2}
+
+
+def test_empty_and_all_accepted(spark, space):
+    frame, rules = checked(spark)
+    nothing = contract_split.split(frame.where("id > 99"), rules, space)
+    assert nothing.counts["rows"] == 0 and nothing.accepted.count() == 0 and nothing.rejected.count() == 0
+    clean = contract_split.split(frame.where("id = 1"), rules, space)
+    assert clean.accepted.count() == 2 and clean.rejected.count() == 0
+
+
+def test_one_pass_without_a_shuffle_of_its_own(spark):
+    rows = spark.createDataFrame(ROWS, "id long, name string, team_id long")
+    rules = contract_split.required_rules(THING) | contract_split.length_rules(THING)
+    assert "Exchange" not in contract_split.marked(rows, rules)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_too_many_rules(spark):
+    with pytest.raises(ValueError, match="63"):
+        contract_split.marked(spark.range(1), {f"r{i}": F.lit(True) for i in range(64)})
+
+
+def test_the_warehouse_keeps_rejects_of_each_run(spark, space, tmp_path):
+    import json
+
+    house = Warehouse(space, str(tmp_path / "house"), buckets=2)
+
+    def load(run, number, team, fielder="f"):
+        wicket = [{"player_out": "A One", "kind": "caught", "fielders": [{"name": fielder}]}]
+        text = json.dumps(scorecard(number, innings=[overs(team, ball(runs=4), ball(wickets=wicket)), {"team": "Beta", "overs": []}]))
+        raw = spark.createDataFrame(
+            [(f"file:/l/{number}.json", f"{number}.json", run, "2024-05-01T00:00:00Z", text, run)],
+            "_source STRING, stg_file_name STRING, stg_file_hashkey STRING, ingested_at STRING, value STRING, run_id STRING")
+        house.land(raw, F.try_to_timestamp("ingested_at"))
+        for name in ("match", "player", "delivery"):
+            house.stage(name, [run])
+        house.refresh_dimensions([run])
+        return house.merge_fact([run])
+
+    first = load("r1", 1, "Alpha")
+    assert (first["rows"], first["accepted"], first["over_number is missing"]) == (3, 2, 1)
+    assert load("r2", 2, "Nobody")["batting side is unknown"] == 2
+    assert load("r3", 3, "Alpha", "long " * 200)["fielder_names is longer than 512"] == 1
+    again = load("r2", 2, "Nobody")
+    assert again["accepted"] == 0
+    found = sorted((r.run_id, r.match_id, r.reasons) for r in house.fact_rejects().collect())
+    empty = "over_number is missing; ball_in_over is missing"
+    assert found == sorted([("r1", 1, empty), ("r2", 2, empty), ("r3", 3, empty)] + [("r2", 2, "batting side is unknown")] * 2 + [("r3", 3, "fielder_names is longer than 512")])
+    assert house.fact().count() == 3
+    assert DIM_PLAYER.columns == house.dim("player").columns
