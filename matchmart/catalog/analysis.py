@@ -19,8 +19,8 @@ from matchmart.plans.fact import split_deliveries
 from matchmart.plans.mart_store import MartStore, summary_of
 from matchmart.plans.warehouse import Warehouse
 from matchmart.sources.documents import write_bundles
-from matchmart.sources.manifests import write_manifest
-from matchmart.streaming.incremental import run_available
+from matchmart.sources.manifests import read_manifests, write_manifest
+from matchmart.streaming.incremental import process_batch, run_available
 
 
 def _dims(lake: Lake) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -365,34 +365,72 @@ def incremental_two_batches(lake: Lake) -> DataFrame:
 
     Ids depend on arrival order, so members are shown by their natural keys.
     """
-    spark, space = lake.spark, lake.space
-    root = space.fresh("incremental")
-    store, manifest, checkpoint = f"{root}/raw", f"{root}/manifest", f"{root}/checkpoint"
-    warehouse = Warehouse(space, f"{root}/warehouse")
-    about = fixtures.matches(spark, lake.sf_dir).select("m", "day")
-    early = F.col("day") < F.lit(fixtures.SPLIT_DATE).cast("date")
-    match_of = F.regexp_extract("stg_file_name", r"^(\d+)", 1).cast("bigint")
-    dated = lake.raw().withColumn("m", match_of).join(about, "m")
-    first, later = dated.where(early).drop("m", "day"), dated.where(~early).drop("m", "day")
-    fixed = fixtures.documents(
-        spark, lake.sf_dir, about.where(early & (F.col("m") % 10 == 0)).select("m"), runs_added=1
-    )
-    batches = [("20240201_000000", "2024-02-01", first), ("20240202_000000", "2024-02-02", later.unionByName(fixed))]
-    for number, (run, date, raw) in enumerate(batches, 1):
-        stamped = raw.withColumn("run_id", F.lit(run)).withColumn("ingested_at", F.lit(f"{date}T00:00:00Z"))
-        write_bundles(stamped, store)
-        listed = spark.read.parquet(store).where(F.col("run_id") == run)
-        write_manifest(fixtures.document_manifest(listed), manifest, run, date)
+    site = _Site(lake)
+    for number, batch in enumerate(site.batches(), 1):
+        site.arrive(*batch)
         at = datetime(2024, 2, number, tzinfo=timezone.utc)
-        run_available(spark, manifest, store, warehouse, checkpoint, loaded_at=lambda _, at=at: at)
-    teams, players = warehouse.dim("team"), warehouse.dim("player")
-    named = (
-        warehouse.fact()
-        .join(teams.select(F.col("team_id").alias("batting_team_id"), F.col("team_key").alias("batting_team")), "batting_team_id")
-        .join(teams.select(F.col("team_id").alias("bowling_team_id"), F.col("team_key").alias("bowling_team")), "bowling_team_id")
-        .join(players.select(F.col("player_id").alias("striker_id"), F.col("player_key").alias("striker")), "striker_id", "left")
-    )
-    return named.select(
-        *FACT_KEY, "batting_team", "bowling_team", "striker", "runs_off_bat", "extras", "total_runs",
-        "is_boundary_4", "is_boundary_6", "is_wicket", "wicket_kind",
-    )
+        run_available(lake.spark, site.manifest, site.store, site.warehouse, site.checkpoint, loaded_at=lambda _, at=at: at)
+    return site.named_fact()
+
+
+class _Site:
+    """A store, its manifests and a warehouse of their own, fed by two runs."""
+
+    def __init__(self, lake: Lake):
+        root = lake.space.fresh("incremental")
+        self.lake = lake
+        self.store, self.manifest, self.checkpoint = f"{root}/raw", f"{root}/manifest", f"{root}/checkpoint"
+        self.warehouse = Warehouse(lake.space, f"{root}/warehouse")
+
+    def batches(self) -> list[tuple[str, str, DataFrame]]:
+        """Run, date and documents: early matches; then the others and corrected early ones."""
+        spark, sf_dir = self.lake.spark, self.lake.sf_dir
+        about = fixtures.matches(spark, sf_dir).select("m", "day")
+        early = F.col("day") < F.lit(fixtures.SPLIT_DATE).cast("date")
+        match_of = F.regexp_extract("stg_file_name", r"^(\d+)", 1).cast("bigint")
+        dated = self.lake.raw().withColumn("m", match_of).join(about, "m")
+        first, later = dated.where(early).drop("m", "day"), dated.where(~early).drop("m", "day")
+        fixed = fixtures.documents(spark, sf_dir, about.where(early & (F.col("m") % 10 == 0)).select("m"), runs_added=1)
+        return [("20240201_000000", "2024-02-01", first), ("20240202_000000", "2024-02-02", later.unionByName(fixed))]
+
+    def arrive(self, run: str, date: str, raw: DataFrame) -> None:
+        stamped = raw.withColumn("run_id", F.lit(run)).withColumn("ingested_at", F.lit(f"{date}T00:00:00Z"))
+        write_bundles(stamped, self.store)
+        listed = self.lake.spark.read.parquet(self.store).where(F.col("run_id") == run)
+        write_manifest(fixtures.document_manifest(listed), self.manifest, run, date)
+
+    def named_fact(self, *more: str) -> DataFrame:
+        teams, players = self.warehouse.dim("team"), self.warehouse.dim("player")
+        named = (
+            self.warehouse.fact()
+            .join(teams.select(F.col("team_id").alias("batting_team_id"), F.col("team_key").alias("batting_team"), F.col("team_name").alias("batting_name")), "batting_team_id")
+            .join(teams.select(F.col("team_id").alias("bowling_team_id"), F.col("team_key").alias("bowling_team")), "bowling_team_id")
+            .join(players.select(F.col("player_id").alias("striker_id"), F.col("player_key").alias("striker")), "striker_id", "left")
+        )
+        return named.select(
+            *FACT_KEY, "batting_team", "bowling_team", "striker", "runs_off_bat", "extras", "total_runs",
+            "is_boundary_4", "is_boundary_6", "is_wicket", "wicket_kind", *more,
+        )
+
+
+@query(over_documents(f"""
+    SELECT {', '.join('f.' + c for c in FACT_KEY)}, t.team_key AS batting_team, o.team_key AS bowling_team,
+           p.player_key AS striker, f.runs_off_bat, f.extras, f.total_runs, f.is_boundary_4, f.is_boundary_6,
+           f.is_wicket, f.wicket_kind,
+           CASE WHEN t.team_key IN (SELECT lower(unnest([team1, team2])) FROM fx_match WHERE d >= DATE '1999-01-01' OR m % 10 = 0)
+                THEN replace(t.team_name, 'NATION_', 'Nation_') ELSE t.team_name END AS batting_name
+    FROM corrected f
+    JOIN team t ON t.team_id = f.batting_team_id
+    JOIN team o ON o.team_id = f.bowling_team_id
+    LEFT JOIN player p ON p.player_id = f.striker_id"""))
+def replayed_run(lake: Lake) -> DataFrame:
+    """Run 1, run 2, run 1 again, then both at once: corrections and the spelling of run 2 stay."""
+    site = _Site(lake)
+    (one, day, first), (two, next_day, later) = site.batches()
+    site.arrive(one, day, first)
+    site.arrive(two, next_day, later.withColumn("value", F.replace("value", F.lit("NATION_"), F.lit("Nation_"))))
+    at = datetime(2024, 2, 1, tzinfo=timezone.utc)
+    arrived = read_manifests(lake.spark, site.manifest)
+    for runs in ([one], [two], [one], [one, two]):
+        process_batch(arrived.where(F.col("run_id").isin(runs)), site.manifest, site.store, site.warehouse, at)
+    return site.named_fact("batting_name")

@@ -110,17 +110,17 @@ def surrogate_keys(lake: Lake) -> DataFrame:
 
 @query(over_documents("SELECT team_id, team_key, team_name FROM team"))
 def dim_team(lake: Lake) -> DataFrame:
-    return dims.dim_team(lake.staged("match"), lake.space).drop("created_at")
+    return dims.dim_team(lake.staged("match"), lake.space).drop("created_at", "named_at")
 
 
 @query(over_documents("SELECT venue_id, venue_key, venue_name, city, CAST(NULL AS VARCHAR) AS country FROM venue"))
 def dim_venue(lake: Lake) -> DataFrame:
-    return dims.dim_venue(lake.staged("match"), lake.space)
+    return dims.dim_venue(lake.staged("match"), lake.space).drop("named_at")
 
 
 @query(over_documents("SELECT player_id, player_key, full_name, team_id FROM player"))
 def dim_player(lake: Lake) -> DataFrame:
-    return dims.dim_player(lake.staged("player"), lake.dim("team"), lake.space).drop("created_at")
+    return dims.dim_player(lake.staged("player"), lake.dim("team"), lake.space).drop("created_at", "named_at")
 
 
 @query(over_documents(as_text("SELECT * FROM calendar", "full_date")))
@@ -130,7 +130,7 @@ def dim_date(lake: Lake) -> DataFrame:
 
 @query(over_documents(as_text("SELECT * FROM dmatch", "event_date")))
 def dim_match(lake: Lake) -> DataFrame:
-    return dims.dim_match(lake.staged("match"), lake.dim("team"), lake.dim("venue"))
+    return dims.dim_match(lake.staged("match"), lake.dim("team"), lake.dim("venue")).drop("stg_modified_ts")
 
 
 @query(over_documents(f"SELECT {', '.join(FACT_DELIVERY.columns)} FROM fact"))

@@ -143,19 +143,20 @@ STG_DELIVERY = Contract(
 )
 DIM_TEAM = Contract(
     "dim_team", "dw",
-    "team_id BIGINT NOT NULL, team_key VARCHAR(256) NOT NULL, team_name VARCHAR(128) NOT NULL, created_at TIMESTAMP",
+    "team_id BIGINT NOT NULL, team_key VARCHAR(256) NOT NULL, team_name VARCHAR(128) NOT NULL, created_at TIMESTAMP,"
+    " named_at DATE",
     key=("team_id",), unique=("team_key",),
 )
 DIM_PLAYER = Contract(
     "dim_player", "dw",
     "player_id BIGINT NOT NULL, player_key VARCHAR(512) NOT NULL, full_name VARCHAR(256) NOT NULL,"
-    " team_id BIGINT NOT NULL, created_at TIMESTAMP",
+    " team_id BIGINT NOT NULL, created_at TIMESTAMP, named_at DATE",
     key=("player_id",), unique=("player_key",), references={"team_id": ("dim_team", "team_id")},
 )
 DIM_VENUE = Contract(
     "dim_venue", "dw",
     "venue_id BIGINT NOT NULL, venue_key VARCHAR(512) NOT NULL, venue_name VARCHAR(256), city VARCHAR(128),"
-    " country VARCHAR(64)",
+    " country VARCHAR(64), named_at DATE",
     key=("venue_id",), unique=("venue_key",),
 )
 DIM_DATE = Contract(
@@ -170,7 +171,7 @@ DIM_MATCH = Contract(
     " date_key INT NOT NULL, event_date DATE NOT NULL, season VARCHAR(64), team_type VARCHAR(32), overs INT,"
     " venue_id BIGINT, gender VARCHAR(16), first_team_id BIGINT, second_team_id BIGINT, match_result VARCHAR(64),"
     " winner_team_id BIGINT, toss_winner_id BIGINT, toss_decision VARCHAR(16), stg_file_name VARCHAR(512),"
-    " stg_file_hashkey VARCHAR(256), ingest_date DATE",
+    " stg_file_hashkey VARCHAR(256), ingest_date DATE, stg_modified_ts TIMESTAMP",
     key=("match_id",), sort=("event_date", "match_id"),
     references={
         "date_key": ("dim_date", "date_key"),

@@ -35,13 +35,19 @@ def _merge_members(
     """Upsert members (one row per natural key), giving ids to the unseen ones.
 
     The members are few compared with the rows they were found in; they are
-    written once and everything after works on that.
+    written once and everything after works on that. A name that was ingested
+    later stays, and of two of the same day the smaller one: neither the order
+    of runs nor their repetition matters.
     """
     attributes = [c for c in members.columns if c != natural]
     stamped = [] if created_at is None else [created_at.alias("created_at")]
     if current is None:
         return conform(dense_ids(members, [natural], id_column, space).select("*", *stamped), contract)
     members = space.freeze(members, "members")
+    names = [c for c in attributes if c != "named_at"]
+    held = current.select(natural, _day("named_at").alias("__day"), F.struct(*names).alias("__names"))
+    newer = (F.col("__day") > _day("named_at")) | ((F.col("__day") == _day("named_at")) & (F.col("__names") <= F.struct(*names)))
+    members = members.join(members.join(held, natural).where(newer).select(natural), natural, "left_anti")
     start = current.agg(F.max(id_column)).first()[0] or 0
     unseen = members.select(natural).join(current.select(natural), natural, "left_anti")
     source = members.join(dense_ids(unseen, [natural], id_column, space, start), natural, "left").select("*", *stamped)
@@ -49,6 +55,10 @@ def _merge_members(
     return upsert(current, source, [natural], attributes, insert, unique_source=True)
 
 
+def _day(column: str) -> Column:
+    return F.coalesce(F.col(column), F.lit("0001-01-01").cast("date"))
+
+
 def team_names(matches: DataFrame) -> DataFrame:
     """Every team name in any of the four roles: one scan, one row per role, NULLs dropped."""
     names = F.explode(F.array(*TEAM_COLUMNS))
@@ -56,14 +66,14 @@ def team_names(matches: DataFrame) -> DataFrame:
 
 
 def _one_per_key(rows: DataFrame, key: str, *names: str) -> DataFrame:
-    """Most recently ingested spelling per key, then the smallest.
+    """Most recently ingested spelling per key, then the smallest, with its day.
 
     The rows are first reduced to distinct spellings with their latest date, a
     hash aggregate that combines on the map side.
     """
-    spellings = rows.groupBy(key, *names).agg(F.max("ingest_date").alias("__seen"))
-    order = [F.col("__seen").desc_nulls_last(), *[F.col(n).asc_nulls_last() for n in names]]
-    return keep_first(spellings, [key], order).drop("__seen")
+    spellings = rows.groupBy(key, *names).agg(F.max("ingest_date").alias("named_at"))
+    order = [F.col("named_at").desc_nulls_last(), *[F.col(n).asc_nulls_last() for n in names]]
+    return keep_first(spellings, [key], order)
 
 
 def team_members(matches: DataFrame) -> DataFrame:

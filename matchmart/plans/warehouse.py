@@ -16,6 +16,7 @@ from matchmart.functions.keys import OVERS_PER_BUCKET, match_bucket
 from matchmart.operators import flatten
 from matchmart.plans import dims, marts
 from matchmart.plans.fact import fact_delivery, fact_table, split_deliveries
+from matchmart.plans.ledger import Ledger
 from matchmart.plans.mart_store import MartStore, summary_of
 from matchmart.sources import documents as docs
 from matchmart.sources.sinks import Snapshots, read_history, write_history
@@ -41,6 +42,7 @@ class Warehouse:
         self.fact_table = fact_table(space, f"{self.root}/fact_delivery", buckets)
         self.summary_table = marts.summary_table(space, f"{self.root}/batsman_summary_sums", max(1, buckets // 4))
         self.mart_store = MartStore(space, f"{self.root}/mart_store", max(1, buckets // 8))
+        self.ledger = Ledger(space, f"{self.root}/ledger")
         self.career = Snapshots(self.spark, f"{self.root}/batsman_career")
         self.career_ext = Snapshots(self.spark, f"{self.root}/batsman_career_ext")
         self.dismissal = Snapshots(self.spark, f"{self.root}/batsman_dismissal")
@@ -102,13 +104,9 @@ class Warehouse:
         )
         together(
             lambda: put["player"](dims.dim_player(players, teams, self.space, now["player"], created_at)),
-            # all staged versions of the runs' matches: an older run loaded again does not win
-            lambda: self.match_table.merge(dims.dim_match(self._versions(matches), teams, venues), unique_source=True),
+            lambda: self.match_table.merge(dims.dim_match(matches, teams, venues), unique_source=True, version=("stg_modified_ts",)),
         )
 
-    def _versions(self, matches: DataFrame) -> DataFrame:
-        return self.staged("match").join(matches.select("match_type_number").distinct(), "match_type_number", "left_semi")
-
     def build_fact(self, runs: list[str] | None = None) -> DataFrame:
         return fact_delivery(self.staged("delivery", runs), self.dim("match"), self.dim("team"), self.dim("player"))
 
@@ -177,16 +175,20 @@ class Warehouse:
 
     # --- one batch ---------------------------------------------------------
 
-    def load(self, raw: DataFrame, runs: list[str], loaded_at: datetime | Column | str) -> None:
+    def load(self, raw: DataFrame, runs: list[str], loaded_at: datetime | Column | str, batch: str | None = None) -> None:
         """Everything from raw bundles to the fact for the given runs.
 
         Repeating it changes nothing, and neither does the order in which runs
-        come, as long as ``loaded_at`` is a property of the documents.
+        come, as long as ``loaded_at`` is a property of the documents. Steps that
+        the ledger has of the ``batch`` are not done again.
         """
-        self.land(raw, loaded_at)
-        together(*[lambda name=name: self.stage(name, runs) for name in STAGING])
-        self.refresh_dimensions(runs)
-        self.merge_fact(runs)
+        def step(name: str, work) -> None:
+            self.ledger.once(batch, runs, name, work)
+
+        step("land", lambda: self.land(raw, loaded_at))
+        together(*[lambda name=name: step(f"stage_{name}", lambda: self.stage(name, runs)) for name in STAGING])
+        step("dimensions", lambda: self.refresh_dimensions(runs))
+        step("fact", lambda: self.merge_fact(runs))
 
 
 def _of_runs(frame: DataFrame, runs: list[str] | None) -> DataFrame:
