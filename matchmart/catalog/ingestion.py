@@ -11,6 +11,7 @@ from matchmart.catalog.oracles import as_text, over_documents, over_manifest
 from matchmart.catalog.registry import query
 from matchmart.contracts import CONTRACTS, STG_DELIVERY, STG_MATCH, STG_PLAYER, length_report
 from matchmart.sources import checksums, documents, manifests, sinks
+from matchmart.sources.landed import LandedRuns
 
 _RECORD = ("uri", "stg_file_name", "stg_file_hashkey", "ingested_at", "size_bytes", "action", "ingest_date", "run_id")
 _RECORD_SQL = ", ".join(_RECORD)
@@ -81,6 +82,42 @@ def latest_per_uri(lake: Lake) -> DataFrame:
     return entries.select(*_RECORD)
 
 
+_LANDED_SQL = """
+    SELECT uri, stg_file_hashkey FROM (
+      SELECT uri, stg_file_hashkey, row_number() OVER (PARTITION BY uri ORDER BY ingested_at DESC NULLS LAST,
+                                                       stg_file_hashkey DESC NULLS LAST) AS rn
+      FROM manifest WHERE action = 'uploaded')
+    WHERE rn = 1"""
+
+
+def _landed(lake: Lake) -> LandedRuns:
+    """The state of all runs of the event manifest, taken over in parts of a few days, the latest first."""
+    def write(path: str) -> None:
+        state, records = LandedRuns(lake.spark, path, 4), _file_records(lake)
+        runs = sorted((r[0] for r in records.select("run_id").distinct().collect()), reverse=True)
+        size = -(-len(runs) // 6)
+        for at in range(0, len(runs), size):
+            some = runs[at : at + size]
+            state.add(records.where(F.col("run_id").isin(some)), some)
+
+    return LandedRuns(lake.spark, lake.space.once("landed_runs", write), 4)
+
+
+@query(over_manifest(f"""
+    SELECT uri, stg_file_hashkey FROM ({_LANDED_SQL}) WHERE CAST(regexp_extract(uri, '([0-9]+)[.]json', 1) AS INTEGER) % 3 = 0"""))
+def landed_state_lookup(lake: Lake) -> DataFrame:
+    """The landed checksums of some scanned files, joined with the sorted runs in their buckets."""
+    number = F.regexp_extract("uri", r"(\d+)[.]json", 1).cast("int")
+    scan = _file_records(lake).where(number % 3 == 0).select("uri")
+    return _landed(lake).of(scan)
+
+
+@query(over_manifest(_LANDED_SQL))
+def landed_state_runs(lake: Lake) -> DataFrame:
+    """The whole state from compacted runs equals the latest upload of every file over all manifests."""
+    return _landed(lake).state()
+
+
 @query(over_manifest("""
     SELECT run_id, action, count(*) AS files, CAST(sum(size_bytes) AS BIGINT) AS bytes FROM manifest GROUP BY 1, 2"""))
 def run_audit(lake: Lake) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from matchmart.functions.uris import basename
 from matchmart.sources import checksums, documents, manifests
+from matchmart.sources.landed import LandedRuns
 from matchmart.workspace import Workspace, subdirectories
 
 
@@ -23,7 +24,7 @@ class IngestOutcome:
 
 
 def landed(spark: SparkSession, base: str, except_run: str | None = None) -> DataFrame:
-    """What other complete runs loaded; nothing before the first run."""
+    """What other complete runs loaded, read from all manifests; nothing before the first run."""
     if not subdirectories(spark, base):
         return spark.createDataFrame([], "uri STRING, stg_file_hashkey STRING")
     return manifests.landed_state(manifests.read_manifests(spark, base), except_run)
@@ -44,13 +45,18 @@ def ingest(
     Files are read once, for checksum and text together. The uploaded ones'
     texts go to the bundle store before the manifest is written: a run that
     dies in between is simply run again, and running a run again repeats it.
-    ``modified_after`` leaves older files unopened and unrecorded.
+    ``modified_after`` leaves older files unopened and unrecorded. What earlier
+    runs landed is kept beside the manifests, in ``<base>_landed``; only manifests
+    of runs it does not have yet are opened.
     """
     started = time.monotonic()
+    known = LandedRuns(spark, f"{base}_landed")
+    known.catch_up(base)
     run_id, date = run_at.strftime("%Y%m%d_%H%M%S"), run_at.strftime("%Y-%m-%d")
     kept = space.fresh("scanned")
     scanned = space.freeze(checksums.scan_texts(spark, files, modified_after=modified_after), path=kept)
-    changes = checksums.detect_changes(scanned.drop("value"), landed(spark, base, run_id), "uri", "stg_file_hashkey")
+    found = scanned.drop("value")
+    changes = checksums.detect_changes(found, known.of(found, except_run=run_id), "uri", "stg_file_hashkey")
     action = F.when(F.col("status") == checksums.UNCHANGED, F.lit(manifests.SKIPPED)).otherwise(
         F.lit(manifests.UPLOADED)
     )
@@ -78,6 +84,8 @@ def ingest(
                 F.lit(stamp).alias("ingested_at"), "value", F.lit(run_id).alias("run_id"),
             ).hint("rebalance", "run_id"), store,
         )
+    # the next run takes this one over, from its finished manifest
+    known.forget(run_id)
     manifests.write_manifest(entries, base, run_id, date)
     space.release(kept)
     return IngestOutcome(

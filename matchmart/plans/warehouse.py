@@ -117,7 +117,7 @@ class Warehouse:
         """
         path = self.space.fresh("split")
         parts = split_deliveries(self.staged("delivery", runs), self.dim("match"), self.dim("team"), self.dim("player"), self.space, path)
-        self.fact_table.merge(parts.accepted, unique_source=True, version=("stg_modified_ts", "stg_file_hashkey"))
+        self.fact_table.merge(parts.accepted, unique_source=True, version=("stg_modified_ts", "stg_file_hashkey"), written=True)
         if parts.counts["rejected"]:
             rejects = conform(parts.rejected, FACT_REJECTS)
             rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(f"{self.root}/fact_rejects")

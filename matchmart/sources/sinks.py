@@ -123,11 +123,12 @@ class BucketedTable:
             .parquet(path)
         )
 
-    def merge(self, source: DataFrame, unique_source: bool = False, version: tuple[str, ...] = ()) -> None:
+    def merge(self, source: DataFrame, unique_source: bool = False, version: tuple[str, ...] = (), written: bool = False) -> None:
         """Upsert whole rows by the contract's key.
 
         With ``version`` columns a source row whose version is below that of the
-        stored row is left out; equal versions take the source's row.
+        stored row is left out; equal versions take the source's row. A source
+        that is read from files already (``written``) is not written again first.
         """
         key = list(self.contract.key)
         rest = [c for c in self.contract.columns if c not in key]
@@ -141,7 +142,7 @@ class BucketedTable:
 
         if not unique_source and not self.exists():
             source = reject_repeated_keys(conform(source, self.contract), key)
-        self._rewrite(source, merged)
+        self._rewrite(source, merged, written=written)
 
     def replace_groups(self, source: DataFrame, group: str, groups: DataFrame) -> None:
         """Drop every row of the given groups and put the source rows in their place.
@@ -153,7 +154,7 @@ class BucketedTable:
 
         self._rewrite(source, merged, groups)
 
-    def _rewrite(self, source: DataFrame, merged, groups: DataFrame | None = None) -> None:
+    def _rewrite(self, source: DataFrame, merged, groups: DataFrame | None = None, written: bool = False) -> None:
         """Write the buckets the source (or the groups) touch anew.
 
         The merged buckets are staged first: a job that fails while writing
@@ -165,7 +166,7 @@ class BucketedTable:
             self._write(source, self.path)
             return
         batch, staged = self.space.fresh("incoming"), self.space.fresh("staged")
-        incoming = self.space.freeze(source, path=batch)
+        incoming = source if written else self.space.freeze(source, path=batch)
         # at most ``buckets`` numbers
         hit = incoming if groups is None else self._with_bucket(groups)
         touched = [r["bucket"] for r in hit.select("bucket").distinct().collect()]

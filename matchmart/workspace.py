@@ -87,6 +87,13 @@ def remove(spark: SparkSession, *paths: str) -> None:
         fs.delete(target, True)
 
 
+def touch(spark: SparkSession, *paths: str) -> None:
+    """Make empty folders, as marks."""
+    for path in paths:
+        target, fs = _hadoop(spark, path)
+        fs.mkdirs(target)
+
+
 def subdirectories(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly under a path, sorted; empty when there is none."""
     target, fs = _hadoop(spark, path)
