@@ -109,12 +109,15 @@ def reconcile_split(staged: DataFrame, parts: Split) -> DataFrame:
         F.count_if(F.col("over_number").isNull() & F.col("innings_number").isNotNull()).alias("rejected_no_overs"),
         F.count_if(F.col("over_number").isNotNull()).alias("rejected_unresolved"),
     )
-    rows = staged.agg(F.count("*").alias("staged"))
-    # one row each
-    both = rows.withColumn("__one", F.lit(1)).join(missing.withColumn("__one", F.lit(1)), "__one").drop("__one")
-    both = both.withColumns({"deduplicated": F.col("staged") - F.lit(parts.counts["rows"]), "fact": F.lit(parts.counts["accepted"]).cast("long")})
-    pairs = F.array(*[F.struct(F.lit(c).alias("step"), F.col(c).alias("n")) for c in both.columns])
-    return both.select(F.inline(pairs))
+    totals = staged.agg(
+        F.count("*").alias("staged"), (F.count("*") - F.lit(parts.counts["rows"])).alias("deduplicated"),
+        F.lit(parts.counts["accepted"]).cast("long").alias("fact"),
+    )
+
+    def steps(row: DataFrame) -> DataFrame:
+        return row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("step"), F.col(c).alias("n")) for c in row.columns])))
+
+    return steps(totals).unionByName(steps(missing))
 
 
 def unknown_sides(deliveries: DataFrame, matches: DataFrame) -> DataFrame:
