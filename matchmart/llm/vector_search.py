@@ -129,18 +129,18 @@ def usable(vectors: DataFrame, vector: str = "embedding", name: str = "vec_id")
 def nearest(vectors: DataFrame, queries: DataFrame, space: Workspace, k: int = NEAREST) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` largest inner products found for every query, its own id left out.
 
-    Both tables are ``(vec_id, v)`` as ``usable`` gives them; vectors of another
-    length than the longest take no part. Rows of one id are vectors of their
-    own as candidates and as queries; of the same pair of ids the best counts
-    once. Empty tables give an empty result.
+    Both tables are ``(vec_id, v)`` as ``usable`` gives them. A query's candidates
+    are the vectors of its own length; every length is searched by itself. Rows
+    of one id are vectors of their own as candidates and as queries; of the same
+    pair of ids the best counts once. Empty tables give an empty result.
     """
     n = vectors.count()
-    facts = vectors.agg(F.max(F.size("v")).alias("width"), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("square")).first()
-    width, largest = facts["width"] or 0, math.sqrt(facts["square"] or 0.0)
+    square = vectors.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()[0]
+    largest = math.sqrt(square or 0.0)
     blocks, rounds = max(1, math.ceil(n / BLOCK)), max(1, math.ceil(queries.count() / QUERIES))
-    fits = F.size("v") == width
-    index = vectors.where(fits).select(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"), "vec_id", "v")
-    asked = queries.where(fits).select(F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(rounds)).cast("int").alias("turn"), "vec_id", "v")
+    width = F.size("v").alias("width")
+    index = vectors.select(width, F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"), "vec_id", "v")
+    asked = queries.select(width, F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(rounds)).cast("int").alias("turn"), "vec_id", "v")
     # every group of queries meets every block of the index
     index = index.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1)))).withColumn("asks", F.lit(False))
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn("asks", F.lit(True))
@@ -156,7 +156,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, space: Workspace, k: int = N
             found.append(pd.DataFrame({"query_id": int(query_id), "vec_id": ids, "score": products}))
         return pd.concat(found)
 
-    met = index.unionByName(asked).groupBy("block", "turn").applyInPandas(search, "query_id long, vec_id long, score double")
+    met = index.unionByName(asked).groupBy("width", "block", "turn").applyInPandas(search, "query_id long, vec_id long, score double")
     pairs = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -93,3 +93,19 @@ def test_query_on_given_tables(spark, small):
     table = sorted((r.vec_id, r.embedding) for r in spark.read.parquet(f"{small}/embeddings.parquet").collect())
     ids = [i for i, _ in table]
     assert recall(rows, ids, np.array([v for _, v in table], dtype=np.float64), [i for i in ids if i % 20 == 0]) >= 0.9
+
+
+def test_every_length_is_searched_by_itself(spark, space):
+    """A stray vector of another length affects only itself; each length equals brute force."""
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(c) for c in rng.normal(size=2)]) for i in range(60)] + [(100 + i, [float(c) for c in rng.normal(size=5)]) for i in range(30)]
+    rows += [(200, [1.0, 2.0, 3.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {(r.query_id, r.rank): (r.vec_id, r.score) for r in search_digest(frame, space).collect()}
+    expected = {}
+    for q, v in rows:
+        if q % 20 == 0:
+            near = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in rows if i != q and len(w) == len(v))[:20]
+            expected |= {(q, n + 1): (i, -s) for n, (s, i) in enumerate(near)}
+    assert found.keys() == expected.keys() and len({q for q, _ in found}) == 5
+    assert all(found[k][0] == expected[k][0] and abs(found[k][1] - expected[k][1]) < 1e-12 for k in expected)
