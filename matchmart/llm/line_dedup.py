@@ -146,8 +146,13 @@ def dedup_lines(
     space.release(path)
     marked = docs.select("*", *identity).join(gone, ["__doc", "__text"], "left").drop("__doc", "__text")
     split = F.split(text_or_empty(), "\n", -1)
-    places = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("__gone"))
-    kept = F.array_join(F.transform(places, lambda at: F.get(split, at)), "\n")
+
+    def without_gone(lines: Column) -> Column:
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
+        return F.array_join(F.transform(places, lambda at: F.get(lines, at)), "\n")
+
+    # the lines are an argument, so a text is split once and not for every line that stays
+    kept = F.get(F.transform(F.array(split), without_gone), F.lit(0))
     return marked.withColumns({
         "__kept": F.when(F.col("__gone").isNull(), text_or_empty()).otherwise(kept),
         "__n_lines": F.size(split).cast("long"),

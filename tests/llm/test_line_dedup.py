@@ -59,3 +59,18 @@ def test_no_python_in_the_plan(docs, space, capsys):
     dedup_lines(docs, space).explain()
     assert "Python" not in capsys.readouterr().out
     assert not hasattr(line_dedup, "pa")
+
+
+def test_time_grows_with_the_lines(spark, space):
+    """A text is split once: five texts of 50 000 lines take seconds."""
+    import time
+
+    lines = [f"line {i} of a long text that five documents have in common" for i in range(25_000)]
+    rows = [(d, "\n".join(x for i, line in enumerate(lines) for x in (line, f"{d} {i}"))) for d in range(5)]
+    docs = space.freeze(spark.createDataFrame(rows, "doc_id long, text string"))
+    start = time.monotonic()
+    found = {r.doc_id: r for r in dedup_lines(docs, space).collect()}
+    assert time.monotonic() - start < 60
+    for d, text in rows:
+        assert found[d]["__n_lines"] == 50_000 and found[d]["__n_dropped"] == (25_000 if d < 4 else 0)
+        assert found[d]["__kept"] == (text if d == 4 else "\n".join(f"{d} {i}" for i in range(25_000)))
