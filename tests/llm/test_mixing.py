@@ -5,7 +5,7 @@ from odd import odd_rows, words_of
 from pyspark.sql import functions as F
 
 from matchmart.llm import queries
-from matchmart.llm.mixing import mix_sources, mixing_digest
+from matchmart.llm.mixing import draw_of, mix_sources, mixing_digest
 
 
 def targets_of(sizes: dict, most: int = 3) -> dict:
@@ -59,18 +59,72 @@ def test_reruns_agree(docs, space):
     assert one == two
 
 
-def test_equal_probability_on_many_documents(spark, space):
-    frame = spark.range(6000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 9 + 1).cast("int")).alias("text"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"))
-    rows = mix_sources(frame, space).collect()
+def due_of(sizes: list[int], target: float, most: int = 3) -> dict[int, float]:
+    """Expected copies by binary digits of the size, found by halving the level."""
+    low, high = 0.0, float(most)
+    for _ in range(200):
+        level = (low + high) / 2
+        if sum(n * min(most, level * n.bit_length()) for n in sizes) > target:
+            high = level
+        else:
+            low = level
+    return {w: min(most, low * w) for w in {max(n, 1).bit_length() for n in sizes}}
+
+
+def lengths(spark, n=6000):
+    repeat = F.repeat(F.lit("w "), (F.pow(F.lit(2), F.col("id") % 8) + F.col("id") % 3).cast("int"))
+    return spark.range(n).select(F.col("id").alias("doc_id"), repeat.alias("text"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"))
+
+
+def test_longer_documents_are_drawn_by_their_probability(spark, space):
+    rows = mix_sources(lengths(spark), space).collect()
     for source in "ab":
         own = [r for r in rows if r.source == source]
-        taken = sum(r["__size"] * r["__copies"] for r in own)
-        assert abs(taken - own[0]["__target"]) <= 5
-        due = own[0]["__target"] / own[0]["__source_size"]
-        assert {r["__copies"] for r in own} <= {int(due), int(due) + 1}
-        for size in (min(r["__size"] for r in own), max(r["__size"] for r in own)):  # long and short documents are drawn alike
-            share = [r["__copies"] for r in own if r["__size"] == size]
-            assert sum(share) / len(share) == pytest.approx(due, abs=0.12)
+        assert abs(sum(r["__size"] * r["__copies"] for r in own) - own[0]["__target"]) <= 130
+        due = due_of([r["__size"] for r in own], own[0]["__target"])
+        assert len({round(d, 6) for d in due.values()}) > 3
+        for weight, expected in due.items():
+            copies = [r["__copies"] for r in own if r["__size"].bit_length() == weight]
+            assert set(copies) <= {int(expected + 1e-9), int(expected + 1e-9) + 1}
+            assert sum(copies) / len(copies) == pytest.approx(expected, abs=4 * (0.25 / len(copies)) ** 0.5 + 0.02)
+
+
+def test_the_front_of_the_ranking_is_taken(spark, space):
+    """Against a plain sort of one source by random odds over inclusion odds."""
+    frame = lengths(spark, 900).withColumn("source", F.lit("a"))
+    frame = frame.unionByName(lengths(spark, 900).withColumns({"source": F.lit("b"), "doc_id": F.col("doc_id") + 900}))
+    drawn = frame.withColumn("draw", draw_of(F.xxhash64("doc_id", "source", "text"), F.lit(1)))
+    rows = mix_sources(drawn, space).collect()
+    for source in "ab":
+        own = [r for r in rows if r.source == source]
+        due = due_of([r["__size"] for r in own], own[0]["__target"])
+        ranked, missing = [], 0.0
+        for r in own:
+            chance = due[r["__size"].bit_length()] % 1
+            missing += chance * r["__size"]
+            ranked.append((r.draw / (1 - r.draw) * (1 - chance) / chance if chance > 1e-8 else float("inf"), r))
+        ranked.sort(key=lambda x: x[0])
+        taken, front = 0, set()
+        for _, r in ranked:
+            if taken + r["__size"] > missing:
+                break
+            taken += r["__size"]
+            front.add(r.doc_id)
+        more = {r.doc_id for r in own if r["__copies"] > int(due[r["__size"].bit_length()] + 1e-9)}
+        assert front <= more and len(more - front) <= 1
+
+
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_repeated_rows_are_drawn_one_by_one(spark, space, doc_id):
+    rows = [(doc_id, "w " * 10, "a", i) for i in range(40)] + [(i, "w " * 10, "b", i) for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, row int").repartition(5)
+    found = mix_sources(frame, space).collect()
+    assert sorted(r.row for r in found if r.source == "a") == list(range(40))
+    for source in "ab":
+        own = [r for r in found if r.source == source]
+        assert abs(sum(r["__copies"] * r["__size"] for r in own) - own[0]["__target"]) <= 5
+    again = mix_sources(frame.repartition(3), space).collect()
+    assert Counter((r.doc_id, r["__copies"]) for r in found) == Counter((r.doc_id, r["__copies"]) for r in again)
 
 
 def test_empty_table_and_clashing_columns(nothing, docs, space, spark):
