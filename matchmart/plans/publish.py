@@ -1,23 +1,22 @@
 """The warehouse under SQL names: layers ``stg``, ``dw`` and ``mart``.
 
 Views over the current files. Publishing again after a load moves them to the
-new versions; queries see a consistent set between two calls.
+new versions; queries see a consistent set between two calls. Versions that no
+view shows any more are removed then.
 """
 
 from __future__ import annotations
 
 from matchmart.contracts import (
     DIM_DATE,
-    DIM_MATCH,
     DIM_PLAYER,
     DIM_TEAM,
     DIM_VENUE,
-    FACT_DELIVERY,
-    MART_SUMMARY_SUMS,
     Contract,
     create_layers,
 )
 from matchmart.plans.warehouse import STAGING, Warehouse
+from matchmart.sources.sinks import BucketedTable
 
 _DIMENSIONS = {"team": DIM_TEAM, "player": DIM_PLAYER, "venue": DIM_VENUE, "date": DIM_DATE}
 
@@ -38,11 +37,22 @@ JOIN dw.dim_team o ON o.team_id = s.bowling_team_id
 """
 
 
+def _columns(contract: Contract | None) -> str:
+    if contract is None:
+        return "*"
+    return ", ".join(f"CAST(t.`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in contract.read_schema)
+
+
 def _view(warehouse: Warehouse, name: str, path: str, contract: Contract | None = None) -> None:
-    columns = "*" if contract is None else ", ".join(
-        f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in contract.read_schema
+    warehouse.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {_columns(contract)} FROM parquet.`{path}` t")
+
+
+def _bucketed_view(warehouse: Warehouse, name: str, table: BucketedTable) -> None:
+    """The versions that count now, found by their folders."""
+    warehouse.spark.sql(
+        f"CREATE OR REPLACE VIEW {name} AS SELECT {_columns(table.contract)} FROM parquet.`{table.rows}` t"
+        f" LEFT SEMI JOIN parquet.`{table.record.location()}` r ON t.version = r.version AND t.bucket <=> r.bucket"
     )
-    warehouse.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{path}`")
 
 
 def publish(warehouse: Warehouse) -> list[str]:
@@ -50,18 +60,20 @@ def publish(warehouse: Warehouse) -> list[str]:
     create_layers(warehouse.spark)
     views = {f"stg.{c.name}": (f"{warehouse.root}/stg_{n}", c) for n, (c, _) in STAGING.items()}
     views |= {f"dw.dim_{d}": (warehouse.snapshots[d].location(), c) for d, c in _DIMENSIONS.items()}
-    views["dw.dim_match"] = (warehouse.match_table.path, DIM_MATCH)
-    views["dw.fact_delivery"] = (warehouse.fact_table.path, FACT_DELIVERY)
-    if warehouse.summary_table.exists():
-        views["mart.batsman_summary_sums"] = (warehouse.summary_table.path, MART_SUMMARY_SUMS)
+    tables = {"dw.dim_match": warehouse.match_table, "dw.fact_delivery": warehouse.fact_table}
+    marts = warehouse.summary_table.exists()
+    if marts:
+        tables["mart.batsman_summary_sums"] = warehouse.summary_table
         views["mart.batsman_career_mv"] = (warehouse.career.location(), None)
         views["mart.batsman_career_ext_mv"] = (warehouse.career_ext.location(), None)
         views["mart.batsman_dismissal_mv"] = (warehouse.dismissal.location(), None)
     for name, (path, contract) in views.items():
         _view(warehouse, name, path, contract)
-    names = list(views)
-    if warehouse.summary_table.exists():
+    for name, table in tables.items():
+        _bucketed_view(warehouse, name, table)
+    names = [*views, *tables]
+    if marts:
         warehouse.spark.sql(_SUMMARY_VIEW)
         names.append("mart.batsman_summary_mv")
+    warehouse.clean()
     return sorted(names)
-

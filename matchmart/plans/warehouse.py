@@ -173,6 +173,12 @@ class Warehouse:
         """The stored sums with the names the dimensions have now."""
         return marts.named_summary(self.summary_table.read(), self.dim("player"), self.dim("team"), self.dim("match"))
 
+    def clean(self) -> None:
+        """Remove versions of buckets that do not count any more; no job may be reading or writing them."""
+        store = self.mart_store
+        for table in (self.match_table, self.fact_table, self.summary_table, store.numbers, store.partials, store.sets):
+            table.clean()
+
     # --- one batch ---------------------------------------------------------
 
     def load(self, raw: DataFrame, runs: list[str], loaded_at: datetime | Column | str, batch: str | None = None) -> None:

@@ -88,41 +88,70 @@ class Snapshots:
 
 
 class BucketedTable:
-    """A large keyed table in hash-bucket folders; an upsert rewrites touched buckets only."""
+    """A large keyed table in hash-bucket folders; an upsert rewrites touched buckets only, once.
+
+    Rows lie in ``rows/version=<n>/bucket=<b>``. Which version of a bucket counts is
+    said by ``record``, a small table of its own that is replaced after the new
+    buckets are complete: until then readers see the table as it was, and a job
+    that dies before leaves nothing but folders that ``clean`` removes.
+    """
 
     def __init__(self, space: Workspace, path: str, contract: Contract, bucket, buckets: int = 64):
         self.space, self.path, self.contract = space, path, contract
         self.bucket, self.buckets = bucket, buckets
         self.spark = space.spark
+        self.rows, self.record = f"{path}/rows", Snapshots(space.spark, f"{path}/record")
+
+    def placed(self) -> dict[str, int]:
+        """The version that counts of every bucket folder; at most as many as there are buckets."""
+        record = self.record.current()
+        return {} if record is None else {r["folder"]: r["version"] for r in record.collect()}
 
     def exists(self) -> bool:
-        return bool(subdirectories(self.spark, self.path))
+        return bool(self.placed())
 
     def _with_bucket(self, frame: DataFrame) -> DataFrame:
         return frame.withColumn("bucket", self.bucket(self.buckets))
 
-    def _stored(self) -> DataFrame:
-        return self.spark.read.schema(self.contract.read_schema.add("bucket", "integer")).parquet(self.path)
+    def _stored(self, placed: dict[str, int]) -> DataFrame:
+        """Rows of the given folders with their bucket; no other folder is listed."""
+        schema = self.contract.read_schema.add("bucket", "integer")
+        if not placed:
+            return self.spark.createDataFrame([], schema)
+        folders = [f"{self.rows}/version={v}/{f}" for f, v in placed.items()]
+        rows = self.spark.read.schema(schema.add("version", "integer")).option("basePath", self.rows).parquet(*folders)
+        return rows.drop("version")
 
     def read(self, buckets: list[int] | None = None) -> DataFrame:
-        """All rows, or those of some buckets: the filter prunes folders."""
-        if not self.exists():
-            return self.spark.createDataFrame([], self.contract.read_schema)
-        rows = self._stored()
-        return (rows if buckets is None else rows.where(F.col("bucket").isin(buckets))).drop("bucket")
+        """All rows, or those of some buckets."""
+        placed = self.placed()
+        if buckets is not None:
+            asked = {_folder(b) for b in buckets}
+            placed = {f: v for f, v in placed.items() if f in asked}
+        return self._stored(placed).drop("bucket")
 
     def _write(self, frame: DataFrame, path: str) -> None:
-        self._put(clustered(frame, ["bucket"], self.contract.sort), path)
-
-    def _put(self, frame: DataFrame, path: str) -> None:
         (
-            frame.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            clustered(frame, ["bucket"], self.contract.sort)
+            .write.mode("overwrite")
             .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
             .partitionBy("bucket")
             .parquet(path)
         )
 
+    def _publish(self, placed: dict[str, int]) -> None:
+        """Have the given versions count from now on."""
+        lines = [(f, v, None if f == _folder(None) else int(f.partition("=")[2])) for f, v in sorted(placed.items())]
+        self.record.replace(self.spark.createDataFrame(lines, "folder string, version int, bucket int").coalesce(1))
+
+    def clean(self) -> None:
+        """Remove folders that do not count, superseded or left by a job that died; nobody may be reading or writing them."""
+        placed = self.placed()
+        for version in subdirectories(self.spark, self.rows):
+            folders = subdirectories(self.spark, f"{self.rows}/{version}")
+            stale = [f for f in folders if f"version={placed.get(f)}" != version]
+            remove(self.spark, *([f"{self.rows}/{version}"] if len(stale) == len(folders) else [f"{self.rows}/{version}/{f}" for f in stale]))
+
     def merge(self, source: DataFrame, unique_source: bool = False, version: tuple[str, ...] = (), written: bool = False) -> None:
         """Upsert whole rows by the contract's key.
 
@@ -155,27 +184,28 @@ class BucketedTable:
         self._rewrite(source, merged, groups)
 
     def _rewrite(self, source: DataFrame, merged, groups: DataFrame | None = None, written: bool = False) -> None:
-        """Write the buckets the source (or the groups) touch anew.
-
-        The merged buckets are staged first: a job that fails while writing
-        them leaves the table as it was, and a failure while the staged buckets
-        are put in place can be repeated from the staged files.
-        """
+        """Write the buckets the source (or the groups) touch as a new version, then have it count."""
         source = self._with_bucket(conform(source, self.contract))
-        if not self.exists():
-            self._write(source, self.path)
+        placed = self.placed()
+        used = [int(v.partition("=")[2]) for v in subdirectories(self.spark, self.rows)]
+        version = max(used, default=0) + 1
+        target = f"{self.rows}/version={version}"
+        if not placed:
+            self._write(source, target)
+            self._publish({f: version for f in subdirectories(self.spark, target)})
             return
-        batch, staged = self.space.fresh("incoming"), self.space.fresh("staged")
+        batch = self.space.fresh("incoming")
         incoming = source if written else self.space.freeze(source, path=batch)
         # at most ``buckets`` numbers
         hit = incoming if groups is None else self._with_bucket(groups)
-        touched = [r["bucket"] for r in hit.select("bucket").distinct().collect()]
+        touched = {_folder(r["bucket"]) for r in hit.select("bucket").distinct().collect()}
         if touched:
-            stored = self._stored().where(F.col("bucket").isin(touched))
-            self._write(merged(stored, incoming), staged)
-            rows = self.spark.read.schema(stored.schema).parquet(staged)
-            self._put(rows.sortWithinPartitions("bucket", *self.contract.sort), self.path)
-            # a folder nothing was written for is not overwritten: its rows are all gone
-            filled = set(subdirectories(self.spark, staged))
-            remove(self.spark, *[f"{self.path}/bucket={b}" for b in touched if f"bucket={b}" not in filled])
-        self.space.release(batch, staged)
+            self._write(merged(self._stored({f: v for f, v in placed.items() if f in touched}), incoming), target)
+            kept = {f: v for f, v in placed.items() if f not in touched}
+            # a folder nothing was written for is gone: its rows are
+            self._publish(kept | {f: version for f in subdirectories(self.spark, target)})
+        self.space.release(batch)
+
+
+def _folder(bucket: int | None) -> str:
+    return f"bucket={'__HIVE_DEFAULT_PARTITION__' if bucket is None else bucket}"

@@ -67,17 +67,53 @@ def test_bucketed_merge_rewrites_touched_buckets_only(spark, space, tmp_path):
     table = fact_table(space, str(tmp_path / "fact"), buckets=16)
     assert table.read().count() == 0
     table.merge(balls(spark, range(20), 1))
-    before = {p: p.stat().st_mtime_ns for p in tmp_path.glob("fact/bucket=*/*.parquet")}
+    before = table.placed()
     table.merge(balls(spark, [3, 25], 6))
     assert sorted((r.runs_off_bat, r["count"]) for r in table.read().groupBy("runs_off_bat").count().collect()) == [(1, 57), (6, 6)]
-    kept = {p for p in tmp_path.glob("fact/bucket=*/*.parquet") if before.get(p) == p.stat().st_mtime_ns}
+    kept = {f for f, v in table.placed().items() if before.get(f) == v}
     assert kept and len(kept) < len(before)
+    written = {p.parent.name for p in tmp_path.glob("fact/rows/version=2/bucket=*/*.parquet")}
+    assert written and not written & kept
     table.merge(balls(spark, [3, 25], 6))
     assert table.read().count() == 63
     table.merge(balls(spark, [], 6))
     assert table.read().count() == 63
 
 
+def test_a_job_killed_before_its_record_leaves_the_old_table(spark, space, tmp_path, monkeypatch):
+    table = fact_table(space, str(tmp_path / "fact"), buckets=16)
+    table.merge(balls(spark, range(20), 1))
+    reading = table.read()
+
+    def killed(placed):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(table, "_publish", killed)
+        with pytest.raises(RuntimeError, match="killed"):
+            table.merge(balls(spark, range(30), 6))
+    assert list(tmp_path.glob("fact/rows/version=2/bucket=*/*.parquet"))
+    fresh = fact_table(space, str(tmp_path / "fact"), buckets=16)
+    assert [(r.runs_off_bat, r["count"]) for r in fresh.read().groupBy("runs_off_bat").count().collect()] == [(1, 60)]
+    fresh.clean()
+    assert not list(tmp_path.glob("fact/rows/version=2"))
+    fresh.merge(balls(spark, range(30), 6))
+    assert [(r.runs_off_bat, r["count"]) for r in fresh.read().groupBy("runs_off_bat").count().collect()] == [(6, 90)]
+    # a reader that started before goes on with what it saw
+    assert reading.count() == 60 and reading.agg(F.sum("runs_off_bat")).first()[0] == 60
+
+
+def test_cleaning_keeps_what_counts(spark, space, tmp_path):
+    table = fact_table(space, str(tmp_path / "fact"), buckets=16)
+    for runs, matches in enumerate([range(20), [3], [3, 4], [5]]):
+        table.merge(balls(spark, matches, runs))
+    rows = sorted(map(tuple, table.read().select("match_id", "runs_off_bat").collect()))
+    table.clean()
+    assert sorted(map(tuple, table.read().select("match_id", "runs_off_bat").collect())) == rows
+    there = {(int(p.parent.name.partition("=")[2]), p.name) for p in tmp_path.glob("fact/rows/version=*/bucket=*")}
+    assert there == {(v, f) for f, v in table.placed().items()}
+
+
 def test_bucketed_merge_rejects_repeated_keys(spark, space, tmp_path):
     table = fact_table(space, str(tmp_path / "fact"), buckets=4)
     twice = balls(spark, [1], 1).unionByName(balls(spark, [1], 2))
@@ -90,7 +126,7 @@ def test_long_matches_spread_over_buckets(spark, space, tmp_path):
                                    F.col("id").cast("int").alias("over_number"), F.lit(1).alias("ball_in_over"))
     table = fact_table(space, str(tmp_path / "fact"), buckets=16)
     table.merge(conform(one, FACT_DELIVERY))
-    assert len(list(tmp_path.glob("fact/bucket=*"))) > 8
+    assert len(list(tmp_path.glob("fact/rows/version=1/bucket=*"))) > 8
 
 
 def test_replacing_groups_drops_rows_that_are_gone(spark, space, tmp_path):
@@ -146,9 +182,9 @@ def test_file_count(spark, tmp_path):
 def test_tables_enforce_lengths(spark, tmp_path):
     create_layers(spark)
     name = create_table(spark, DIM_TEAM, str(tmp_path / "dim_team"), replace=True)
-    spark.sql(f"INSERT INTO {name} VALUES (1, 'k', 'n', NULL)")
+    spark.sql(f"INSERT INTO {name} VALUES (1, 'k', 'n', NULL, NULL)")
     with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
-        spark.sql(f"INSERT INTO {name} VALUES (2, 'k', repeat('x', 129), NULL)")
+        spark.sql(f"INSERT INTO {name} VALUES (2, 'k', repeat('x', 129), NULL, NULL)")
     spark.sql(f"DROP TABLE {name}")
 
 
