@@ -128,7 +128,11 @@ class BucketedTable:
         if buckets is not None:
             asked = {_folder(b) for b in buckets}
             placed = {f: v for f, v in placed.items() if f in asked}
-        return self._stored(placed).drop("bucket")
+        rows = self._stored(placed)
+        if buckets is not None and placed:
+            known = F.col("bucket").isin([b for b in buckets if b is not None])
+            rows = rows.where(known | F.col("bucket").isNull() if None in buckets else known)
+        return rows.drop("bucket")
 
     def _write(self, frame: DataFrame, path: str) -> None:
         (
