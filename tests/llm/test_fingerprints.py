@@ -6,7 +6,7 @@ from odd import odd_rows
 from pyspark.sql import functions as F
 
 from matchmart.llm import queries
-from matchmart.llm.fingerprints import edited, fingerprint, fingerprint_digest, likeness, search_fingerprints
+from matchmart.llm.fingerprints import RADIUS, block_tables, edited, fingerprint, fingerprint_digest, likeness, search_fingerprints
 
 NO_ID = -(2**63)
 
@@ -40,17 +40,44 @@ def test_likeness_orders_texts():
     assert fingerprint("") != fingerprint("x") and len(fingerprint("")) == 16
 
 
-def test_search_finds_all_within_the_radius(spark, space):
+@pytest.mark.parametrize("radius", [0, 3, 4, RADIUS, 21])
+def test_search_finds_all_within_the_radius(spark, space, radius):
     rng = np.random.Generator(np.random.PCG64(1))
-    base = [int.from_bytes(rng.bytes(16)) for _ in range(20)]
-    near = [b ^ sum(1 << int(i) for i in rng.choice(128, k, replace=False)) for b in base for k in range(6)]
+    base = [int.from_bytes(rng.bytes(16)) for _ in range(20)] + [0, 2**128 - 1]
+    near = [b ^ sum(1 << int(i) for i in rng.choice(128, k, replace=False)) for b in base for k in range(25)]
+    # same upper half, other lower one: the halves are joined by the upper
+    near += [b ^ 0xFFFF for b in base]
     frame = spark.createDataFrame([(f"{v:032x}",) for v in base + near] + [(None,)], "fingerprint string")
-    asks = spark.createDataFrame([(f"{v:032x}",) for v in base], "fingerprint string")
-    found = {(r.fingerprint, r.found, r.distance) for r in search_fingerprints(frame, asks, space).collect()}
-    expected = {(f"{a:032x}", f"{b:032x}", (a ^ b).bit_count()) for a in base for b in {*base, *near} if (a ^ b).bit_count() <= 3}
-    assert found == expected
-    with pytest.raises(ValueError, match="radius"):
-        search_fingerprints(frame, asks, space, 4)
+    asks = spark.createDataFrame([(f"{v:032x}",) for v in base + near[-5:]], "fingerprint string")
+    rows = [(r.fingerprint, r.found, r.distance) for r in search_fingerprints(frame, asks, space, radius).collect()]
+    asked = {*base, *near[-5:]}
+    expected = {(f"{a:032x}", f"{b:032x}", (a ^ b).bit_count()) for a in asked for b in {*base, *near} if (a ^ b).bit_count() <= radius}
+    assert set(rows) == expected and len(rows) == len(expected)
+
+
+def test_tables_cover_every_radius(spark, space, nothing):
+    for radius in range(48):
+        tables = block_tables(radius)
+        assert sum(flips + 1 for _, _, flips in tables) >= radius + 1 and max(end - first for first, end, _ in tables) <= 32
+    prints = fingerprint_digest(nothing, space)
+    for radius in (-1, 48):
+        with pytest.raises(ValueError, match="radius"):
+            search_fingerprints(prints, prints, space, radius)
+
+
+def test_near_copies_are_within_the_radius():
+    """Texts of 200 words of which five are others; unrelated texts are far away."""
+    rng = np.random.Generator(np.random.PCG64(3))
+    words = np.array([f"w{i}" for i in range(5000)])
+    near = far = 0
+    for _ in range(100):
+        text = rng.choice(words, 200)
+        copy = text.copy()
+        copy[rng.choice(200, 5, replace=False)] = rng.choice(words, 5)
+        one, two, other = (int.from_bytes(fingerprint(" ".join(t))) for t in (text, copy, rng.choice(words, 200)))
+        near += (one ^ two).bit_count() <= RADIUS
+        far += (one ^ other).bit_count() <= RADIUS
+    assert near >= 90 and far == 0
 
 
 def test_query_on_given_tables(spark, small):
@@ -59,5 +86,5 @@ def test_query_on_given_tables(spark, small):
     assert len(rows) == 200
     for r in rows:
         if r.doc_id % 50 == 0:
-            assert r.n_within == sum((int(r.fingerprint, 16) ^ p).bit_count() <= 3 for p in prints)
+            assert r.n_within == sum((int(r.fingerprint, 16) ^ p).bit_count() <= RADIUS for p in prints)
     assert np.mean([r.near_edited > r.near_next for r in rows]) > 0.97
