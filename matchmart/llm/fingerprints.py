@@ -215,7 +215,9 @@ def search_fingerprints(prints: DataFrame, queries: DataFrame, space: Workspace,
         return F.transform(F.lit(masks), lambda mask: keyed(table, block.bitwiseXOR(mask.cast("long"))))
 
     near_keys = [within(i, b, _masks(end - first, flips)) for i, (b, (first, end, flips)) in enumerate(zip(blocks("asked"), tables, strict=True))]
-    probes = asked.select("asked_high", F.explode(F.flatten(F.array(*near_keys))).alias("key"))
+    # a row becomes more than a thousand here, so its table's few files are dealt to many tasks first
+    dealt = asked.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    probes = dealt.select("asked_high", F.explode(F.flatten(F.array(*near_keys))).alias("key"))
     differ = [F.bit_count(F.col(f"asked_{half}").bitwiseXOR(F.col(f"held_{half}"))) for half in ("high", "low")]
     # both sides are many times the size of their tables, which a plan does not foresee: neither is to be broadcast;
     # probes carry half of their fingerprint; where that half is near, the other one is fetched
