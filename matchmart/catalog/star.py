@@ -41,7 +41,7 @@ def lineage_join_fanout(lake: Lake) -> DataFrame:
     FROM dmatch d JOIN stg_match s ON s.match_type_number = d.match_id AND s.stg_file_name = d.stg_file_name
     LEFT JOIN venue v ON v.venue_key = lower(trim(s.venue)) || '|' || lower(trim(s.city))"""))
 def role_playing_lookup(lake: Lake) -> DataFrame:
-    matches = dims.one_per_match(lake.staged("match"))
+    matches = dims.one_per_match(lake.staged("match"), lake.space)
     safe = dims.resolve_match(matches, lake.dim("team"), lake.dim("venue"))
     strict = dims.resolve_match(
         safe.withColumnRenamed("venue_id", "__safe").drop(
@@ -63,14 +63,14 @@ def new_dates_anti(lake: Lake) -> DataFrame:
 
 @query(over_documents(f"SELECT {', '.join(FACT_KEY)}, batting_team_id, bowling_team_id FROM fact"))
 def opponent_resolution(lake: Lake) -> DataFrame:
-    balls = fact.latest_per_ball(fact.keyed(lake.staged("delivery")))
+    balls = fact.latest_per_ball(fact.keyed(lake.staged("delivery")), lake.space)
     sides = fact.with_sides(balls, lake.dim("match"), lake.dim("team"))
     return sides.withColumn("over_number", F.col("over")).select(*FACT_KEY, "batting_team_id", "bowling_team_id")
 
 
 @query(over_documents(f"SELECT {', '.join(FACT_KEY)}, striker_id, non_striker_id, bowler_id FROM fact"))
 def player_role_lookup(lake: Lake) -> DataFrame:
-    balls = fact.latest_per_ball(fact.keyed(lake.staged("delivery")))
+    balls = fact.latest_per_ball(fact.keyed(lake.staged("delivery")), lake.space)
     sides = fact.with_sides(balls, lake.dim("match"), lake.dim("team"))
     roles = fact.with_players(sides, lake.dim("player"))
     return roles.withColumn("over_number", F.col("over")).select(
@@ -130,7 +130,7 @@ def dim_date(lake: Lake) -> DataFrame:
 
 @query(over_documents(as_text("SELECT * FROM dmatch", "event_date")))
 def dim_match(lake: Lake) -> DataFrame:
-    return dims.dim_match(lake.staged("match"), lake.dim("team"), lake.dim("venue")).drop("stg_modified_ts")
+    return dims.dim_match(lake.staged("match"), lake.dim("team"), lake.dim("venue"), space=lake.space).drop("stg_modified_ts")
 
 
 @query(over_documents(f"SELECT {', '.join(FACT_DELIVERY.columns)} FROM fact"))
