@@ -217,15 +217,15 @@ def search_fingerprints(prints: DataFrame, queries: DataFrame, space: Workspace,
     near_keys = [within(i, b, _masks(end - first, flips)) for i, (b, (first, end, flips)) in enumerate(zip(blocks("asked"), tables, strict=True))]
     # a row becomes more than a thousand here, so its table's few files are dealt to many tasks first
     dealt = asked.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    probes = dealt.select("asked_high", F.explode(F.flatten(F.array(*near_keys))).alias("key"))
+    probes = dealt.select("asked_high", "asked_low", F.explode(F.flatten(F.array(*near_keys))).alias("key"))
     differ = [F.bit_count(F.col(f"asked_{half}").bitwiseXOR(F.col(f"held_{half}"))) for half in ("high", "low")]
-    # both sides are many times the size of their tables, which a plan does not foresee: neither is to be broadcast;
-    # probes carry half of their fingerprint; where that half is near, the other one is fetched
-    met = probes.join(stored.hint("merge"), "key").where(differ[0] <= radius).join(asked, "asked_high")
     first_table = F.coalesce(*[
         F.when(F.bit_count(one.bitwiseXOR(other)) <= flips, F.lit(i))
         for i, (one, other, (_, _, flips)) in enumerate(zip(blocks("asked"), blocks("held"), tables, strict=True))
     ])
+    # both sides are many times the size of their tables, which a plan does not foresee: neither is to be broadcast;
+    # the join itself decides on both halves and the table, so it makes every pair of the result once and no other row
+    met = probes.join(stored.hint("merge"), "key")
     near = met.where((differ[0] + differ[1] <= radius) & (F.shiftright("key", 32) == first_table))
     return near.select(
         _hexadecimal(F.col("asked_high"), F.col("asked_low")).alias("fingerprint"),

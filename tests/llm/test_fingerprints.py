@@ -55,6 +55,14 @@ def test_search_finds_all_within_the_radius(spark, space, radius):
     assert set(rows) == expected and len(rows) == len(expected)
 
 
+def test_the_join_makes_pairs_of_the_result_only(spark, space):
+    """A group of near copies shares keys in several tables; each of its pairs is made once."""
+    group = spark.createDataFrame([(f"{1 << i:032x}",) for i in range(128)] + [(f"{0:032x}",)], "fingerprint string")
+    text = search_fingerprints(group, group, space)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in text.splitlines() if "Join" in line]
+    assert len(joins) == 1 and "held_low" in joins[0] and "shiftright(key" in joins[0]
+
+
 def test_tables_cover_every_radius(spark, space, nothing):
     for radius in range(48):
         tables = block_tables(radius)
