@@ -21,7 +21,7 @@ def plan(frame) -> str:
 def tables(spark, folder, long=40):
     """Match 7 has most lines, match 3 none; keys repeat and some are null."""
     places = [(7, s, n, n % 4) for s in "FO" for n in range(long)] + [(1, "F", 1, 1), (1, "F", 1, 1), (2, "O", 1, 5), (None, "F", 1, 1), (9, "F", 1, 1), (2, None, 1, 1), (1, "F", None, 1), (7, "O", 3, None)]
-    lines = [(m, s, n, p, 4, "1998-01-0%d" % (n % 9 + 1), float(n % 9 + 1), 10.0 + n, 0.0, 0.02, "R") for m, s, n, p in places]
+    lines = [(m, s, n, p, 4, "1998-01-0%d" % ((n or 0) % 9 + 1), float((n or 0) % 9 + 1), 10.0 + (n or 0), 0.0, 0.02, "R") for m, s, n, p in places]
     spark.createDataFrame(lines, "l_orderkey long, l_linestatus string, l_linenumber int, l_partkey long, l_suppkey long, l_shipdate string, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string").write.parquet(f"{folder}/lineitem.parquet")
     orders = [(m, 1, "F", "1-URGENT", "1998-05-01") for m in (1, 2, 3, 7, 2, None)]
     spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate string").write.parquet(f"{folder}/orders.parquet")
