@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from matchmart.catalog import fixtures
 from matchmart.catalog.analysis import _Site
 from matchmart.catalog.lake import Lake
-from matchmart.contracts import STG_MATCH, conform
+from matchmart.contracts import MATCH_NUMBERS, STG_MATCH, conform
 from matchmart.operators.latest import keep_first, keep_first_among
 from matchmart.plans import marts
 from matchmart.plans.fact import BALL_KEY, contested_matches, latest_per_ball
-from matchmart.sources.sinks import write_history
+from matchmart.plans.mart_store import partial_sums, summary_of
+from matchmart.sources.sinks import BucketedTable, write_history
 
 
 def plan(frame) -> str:
@@ -100,3 +101,73 @@ def test_sums_meet_their_matches_before_they_are_named(spark):
     text = marts.named_summary(sums, players, teams, matches)._jdf.queryExecution().analyzed().toString()
     # the innermost join is printed last
     assert "match_id" in [line for line in text.splitlines() if "Join Inner" in line][-1]
+
+
+BALLS = "match_id long, innings_number int, over_number int, ball_in_over int, striker_id long, bowling_team_id long, runs_off_bat int, extras int, is_boundary_4 boolean, is_boundary_6 boolean, is_wicket boolean, wicket_kind string"
+
+
+def balls(spark):
+    rows = [(m, i, o, b, s, 9, o % 7, b % 2, o % 7 == 4, o % 7 == 6, o == 3, "bowled" if o == 3 else None) for m in (1, 2, 3) for i in (1, 2) for o in range(4) for b, s in ((1, 7), (2, 8), (3, None))]
+    return spark.createDataFrame(rows, BALLS)
+
+
+def found(frame):
+    return sorted(map(tuple, frame.select(*sorted(frame.columns)).collect()), key=repr)
+
+
+def moves(frame):
+    return re.findall(r"Exchange (\w+\([^)]*\))", plan(frame))
+
+
+def test_balls_are_moved_once_by_match(spark, monkeypatch):
+    matches = spark.createDataFrame([(1,), (2,)], "match_id long").hint("merge")
+    career = marts._career_sums(balls(spark), matches)
+    # the balls and the matches; the rows per batsman
+    assert len([x for x in moves(career) if "match_id" in x]) == 2 and len(moves(career)) == 3
+    assert len(moves(marts.summary_sums(balls(spark)).join(matches, "match_id"))) == 2
+    assert len(moves(partial_sums(balls(spark)).join(matches, "match_id"))) == 2
+    partials = partial_sums(balls(spark)).localCheckpoint()
+    assert len(moves(summary_of(partials).join(matches, "match_id"))) == 2
+    made = [found(career), found(marts.summary_sums(balls(spark))), found(partial_sums(balls(spark)))]
+    assert [(r.player_id, r.innings, r.matches, r.balls, r.runs) for r in career.orderBy("player_id").collect()] == [(7, 4, 2, 16, 24), (8, 4, 2, 16, 24)]
+    for over in (0, 2):
+        monkeypatch.setattr(marts, "OVERS_PER_BUCKET", over)
+        assert [found(marts._career_sums(balls(spark), matches)), found(marts.summary_sums(balls(spark))), found(partial_sums(balls(spark)))] == made
+
+
+def test_some_matches_are_long(spark, monkeypatch):
+    monkeypatch.setattr(marts, "OVERS_PER_BUCKET", 4)
+    more = balls(spark).unionByName(balls(spark).where("match_id = 2").withColumn("over_number", F.col("over_number") + 50))
+    assert {r.match_id: r.n for r in partial_sums(more).groupBy("match_id").agg(F.sum("balls").alias("n")).collect()} == {1: 24, 2: 48, 3: 24}
+
+
+def test_summary_rows_are_not_moved_for_own_dismissals(spark):
+    summary = spark.createDataFrame([(7, 1, "a"), (8, 1, "b"), (7, 2, "a")], "player_id long, match_id long, batsman_name string").repartition("match_id")
+    out = spark.createDataFrame([(7, 1, 2, None), (9, 1, 1, "lbw"), (8, 3, 1, "lbw")], "player_id long, match_id long, own_dismissals long, dismissal_kind string")
+    matches = spark.createDataFrame([(1, 5), (2, None)], "match_id long, venue_id long")
+    venues = spark.createDataFrame([(5, "Park", "Town")], "venue_id long, venue_name string, city string")
+    frame = marts.batsman_summary_ext(summary, out, matches.hint("merge"), venues)
+    assert not [x for x in moves(frame) if "player_id" in x and "match_id" in x]
+    assert sorted(map(tuple, frame.collect())) == [(7, 1, "a", 5, "Park", "Town", 2, None), (7, 2, "a", None, None, None, 0, None), (8, 1, "b", 5, "Park", "Town", 0, None)]
+
+
+def test_first_rows_are_written_where_they_are(spark, space, tmp_path):
+    rows = spark.range(400).select(F.col("id").alias("match_id"), (F.col("id") + 1).alias("match_no"))
+    table = BucketedTable(space, str(tmp_path / "t"), MATCH_NUMBERS, lambda n: F.pmod("match_id", F.lit(n)).cast("int"), 2)
+    table.merge(rows.repartition(4), unique_source=True)
+    files = {f: len(list((tmp_path / "t/rows").glob(f"version=1/bucket={f}/*.parquet"))) for f in (0, 1)}
+    assert files == {0: 4, 1: 4} and table.read().count() == 400
+    table.merge(rows.where("match_id = 0").withColumn("match_no", F.lit(0).cast("long")), unique_source=True)
+    assert len(list((tmp_path / "t/rows").glob("version=2/bucket=0/*.parquet"))) == 1
+    assert table.read().agg(F.sum("match_no")).first()[0] == 400 * 401 // 2 - 1
+
+
+def test_only_full_buckets_are_counted_by_match(spark, tmp_path, monkeypatch):
+    folder = tables(spark, tmp_path)
+    lines = fixtures._lines(spark, folder)
+    assert "LeftSemi" in plan(fixtures._long_matches(lines))
+    for buckets in (1, 2, 65_536):
+        monkeypatch.setattr(fixtures, "COUNT_BUCKETS", buckets)
+        for limit, long in ((10_000, []), (10, [7]), (2, [1, 7])):
+            monkeypatch.setattr(fixtures, "LONG_MATCH", limit)
+            assert sorted(r[0] for r in fixtures._long_matches(lines).collect()) == long
