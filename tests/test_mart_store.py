@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchmart.contracts import FACT_DELIVERY, conform
+from matchmart.operators import lookups
 from matchmart.plans import mart_store
 from matchmart.plans.mart_store import MartStore, kind_totals, partial_sums, player_totals
+from matchmart.workspace import Workspace
 
 
 def balls(spark, rows):
@@ -88,3 +90,28 @@ def test_totals_are_invertible(spark):
         delta = mart_store.difference(totals(two), totals(one), keys, values)
         found = mart_store.added(totals(one), delta, keys, values, values[-2] if len(values) > 1 else "outs")
         assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, totals(two).select(*keys, *values).collect()), key=repr)
+
+
+def test_the_first_refresh_joins_no_stored_rows(spark, space, tmp_path):
+    """Of a table without rows the plan knows that; rows of unknown size would have all matches broadcast to them."""
+    store = MartStore(space, str(tmp_path / "store"))
+    matches = space.freeze(spark.range(5).select(F.col("id").alias("match_id"), F.col("id").alias("match_no")))
+    found = store.of_matches(matches)
+    assert found.collect() == [] and "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert "wicket_kind" in found.columns
+
+
+def test_many_matches_are_not_gathered_in_the_driver(spark, space, tmp_path, monkeypatch):
+    """Lists of ids have small files; beyond a number of rows they are moved, not broadcast."""
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 1)
+    made, write, freeze = [], MartStore._write, Workspace.freeze
+    look = lambda frame: made.append(frame._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(MartStore, "_write", lambda self, name, frame: (look(frame), write(self, name, frame))[1])
+    monkeypatch.setattr(Workspace, "freeze", lambda self, frame, *a, **b: (look(frame), freeze(self, frame, *a, **b))[1])
+    store = MartStore(space, str(tmp_path / "store"))
+    store.refresh(balls(spark, FIRST), balls(spark, FIRST).select("match_id"))
+    store.refresh(*second(spark))
+    assert any("Join" in text for text in made)
+    # long matches are few, and summed apart
+    assert not [text for text in made if "BroadcastHashJoin" in text and "over_number" not in text]
+    assert state(store) == rebuilt(spark, space, tmp_path)
