@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchmart.contracts import DIM_TEAM, FACT_DELIVERY, MART_SUMMARY_SUMS, STG_MATCH, conform, create_layers, create_table
-from matchmart.operators.upsert import insert_only, upsert
+from matchmart.operators.upsert import insert_only, newer_rows, upsert
 from matchmart.plans.fact import fact_table
 from matchmart.plans.marts import summary_table
 from matchmart.sources import sinks
@@ -52,6 +52,33 @@ def test_idempotent(spark, target, update):
     assert rows(upsert(once, source, ["k"], update, ["k", "v", "created", "n"])) == rows(once)
 
 
+def test_rows_that_meet_once_are_those_of_the_joins(spark):
+    """Newer and older versions, equal ones, repeated keys on either side, keys that are missing."""
+    ddl = "k INT, part STRING, ver INT, v STRING"
+    target = spark.createDataFrame([(1, "a", 1, "t"), (2, "a", 5, "t"), (3, "a", 2, "t"), (3, "a", 2, "t2"), (None, "a", 1, "t"), (5, None, 1, "t"), (6, "b", None, "t"), (7, "b", 1, "t"), (8, "b", 3, "t")], ddl)
+    source = spark.createDataFrame([(1, "a", 2, "s"), (2, "a", 4, "s"), (2, "a", 6, "s"), (3, "a", 2, "s"), (None, "a", 0, "s"), (5, None, 0, "s"), (6, "b", 1, "s"), (7, "b", None, "s"), (9, "b", 1, "s"), (9, "b", 1, "s2")], ddl)
+    keys = ["k", "part"]
+    stale = target.select(*keys, F.struct("ver").alias("held")).join(source.select(*keys, F.struct("ver").alias("new")), keys).where("held > new")
+    fresh = source.join(stale.select(*keys), keys, "left_anti").select(*source.columns)
+    for version, incoming in ((("ver",), fresh), ((), source)):
+        once = newer_rows(target, source, keys, version, ["k"])
+        assert rows(once) == rows(upsert(target, incoming, keys, ["ver", "v"], unique_source=True))
+        assert once._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+
+
+def test_a_large_batch_merges_as_a_small_one(spark, space, tmp_path, monkeypatch):
+    made = []
+    for limit, folder in ((10**6, "few"), (0, "many")):
+        monkeypatch.setattr(sinks, "BROADCAST_ROWS", limit)
+        table = fact_table(space, str(tmp_path / folder), buckets=4)
+        at = lambda m, n, day: balls(spark, m, n).withColumn("stg_modified_ts", F.lit(f"2024-01-0{day}").cast("timestamp"))
+        for batch in (at(range(6), 1, 2), at([3, 9], 6, 3), at([3, 4], 2, 1)):
+            table.merge(batch, unique_source=True, version=("stg_modified_ts", "stg_file_hashkey"))
+        made.append(rows(table.read()))
+    assert made[0] == made[1] and len(made[0]) == 21
+    assert {r.match_id: r.runs_off_bat for r in table.read().collect()} == {0: 1, 1: 1, 2: 1, 3: 6, 4: 1, 5: 1, 9: 6}
+
+
 def test_insert_only(spark, target):
     source = spark.createDataFrame([(2, "x", "x", 1), (5, "e", "e", 5)], SCHEMA)
     assert rows(insert_only(target, source, ["k"])) == [(5, "e", "e", 5)]
