@@ -1,6 +1,7 @@
 """Batches that stop and go on, runs that come again, and names that keep their latest spelling."""
 
 import json
+import re
 from datetime import datetime, timezone
 
 import pytest
@@ -11,7 +12,9 @@ from matchmart.plans.ledger import Ledger, batch_key
 from matchmart.plans.warehouse import Warehouse
 from matchmart.sources.documents import write_bundles
 from matchmart.sources.manifests import read_manifests, write_manifest
+from matchmart.streaming import incremental
 from matchmart.streaming.incremental import process_batch
+from matchmart.workspace import subdirectories
 
 AT = datetime(2024, 5, 1, tzinfo=timezone.utc)
 
@@ -63,6 +66,19 @@ def test_an_interrupted_batch_goes_on_where_it_stopped(site, monkeypatch):
     assert {r.step for r in site.warehouse.ledger.rows().collect()} == {"land", "stage_match", "stage_player", "stage_delivery", "dimensions", "fact"}
 
 
+def test_a_finished_batch_looks_for_no_texts(site, space, monkeypatch):
+    """And a batch opens the manifests of its runs only, and leaves nothing of what it wrote on its way."""
+    site.arrive("r1", "2024-01-01", {"a": card(1, "Alpha", 4)})
+    site.arrive("r2", "2024-01-02", {"b": card(2, "Alpha", 6)})
+    plans, real = [], incremental.latest_per_uri
+    monkeypatch.setattr(incremental, "latest_per_uri", lambda frame: (plans.append(frame._jdf.queryExecution().executedPlan().toString()), real(frame))[1])
+    assert site.load("r1") == ["r1"]
+    monkeypatch.setattr(incremental, "selected_texts", None)
+    assert site.load("r1") == ["r1"] and site.warehouse.fact().count() == 1
+    assert len(plans) == 2 and all(re.search(r"PartitionFilters: \[[^\]]*run_id#\d+ = r1", text) for text in plans)
+    assert not [f for f in subdirectories(space.spark, space.root) if f.startswith("batch-")]
+
+
 def test_an_older_run_does_not_bring_its_spelling_back(site):
     site.arrive("r1", "2024-01-01", {"a": card(1, "Alpha", 4)})
     site.arrive("r2", "2024-02-01", {"b": card(2, "ALPHA", 6)})
